@@ -57,7 +57,7 @@ EVENT = re.compile(rf"(?P<term>[\p{{Sentence_Break=STerm}}\p{{Sentence_Break=ATe
 GLUED = re.compile(r"(?:(?<![/:@][\w.-]*)\p{Ll}{2,}|(?<![\p{L}_/:@])[\p{N}.,]*\p{N}|[)»”])[.!?]+(?:\p{Lu}[\p{Ll}\s'’.-]|[¿¡«„“])\Z")
 INVISIBLE = re.compile(r"\p{Cf}+")
 WORD_BEFORE = re.compile(r"[\p{L}\p{M}\p{N}.\p{Cf}-]{1,40}\Z")
-PREVIOUS = re.compile(r"([\p{L}\p{M}\p{Cf}]+)[^\p{L}\p{N}]*\Z")
+PREVIOUS = re.compile(r"([\p{L}\p{M}\p{Cf}]+)(\.?)\s*\Z")
 NEXT_WORD = re.compile(r"[\p{L}\p{M}\p{Cf}]+")
 IDEOGRAPHIC = re.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}　-〿＀-￯]")
 NEVER_SET, SOMETIMES_SET, MONTH_SET, ORDINAL_SET, WEEKDAY_SET, LABEL_SET, STARTER_SET = map(frozenset, (NEVER, SOMETIMES, MONTHS, ORDINAL_BEFORE, WEEKDAYS, LABELLED, STARTERS))
@@ -147,7 +147,7 @@ def _abbreviation(text: str, at: int, after: int) -> bool:
         if bare in NEVER_SET and not raw.isupper():
             return True
         if raw.isupper():
-            if prior in LABEL_SET or follow in STARTER_SET:
+            if prior in LABEL_SET and not before.group(2) or follow in STARTER_SET:
                 return False
             return True
         return lower or nxt.isdigit()
