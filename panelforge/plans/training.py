@@ -102,7 +102,8 @@ def _number(t: str) -> str:
     return f"""coalesce(regexp_full_match({t}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') AND isfinite({v})
       AND NOT ({v} = 0 AND regexp_matches(regexp_replace({t}, '[eE].*', ''), '[1-9]'))
       AND (regexp_matches({t}, '[eE]') OR length(regexp_replace({t}, '[^0-9]', '', 'g')) <= 15
-        OR coalesce(try_cast({t} AS DECIMAL(38,18)) = try_cast(CAST({v} AS VARCHAR) AS DECIMAL(38,18)), false)), false)"""
+        OR length(ltrim(replace(rtrim({t}, '0'), '.', ''), '+-0')) <= 17 + 21 * CAST({t} NOT LIKE '%.%' AS INT)
+        AND coalesce(try_cast({t} AS DECIMAL(38,18)) = try_cast(CAST({v} AS VARCHAR) AS DECIMAL(38,18)), false)), false)"""
 
 
 def _missing(t: str) -> str:
