@@ -37,6 +37,8 @@ MOST_NAMES = 20_000
 GOVERNMENT = ["republic", "kingdom", "state", "federation", "commonwealth", "united", "provinces", "democratic", "mainland", "former", "government", "govt", "the", "of"]
 QUALIFIERS = ["north", "south", "east", "west", "upper", "lower", "new", "saint", "islands", "isle", "union", "central", "island"]
 SHORT_FORMS = {"rep": "republic", "repub": "republic", "dem": "democratic", "fed": "federation", "kgdm": "kingdom", "n": "north", "s": "south", "e": "east", "w": "west", "no": "north", "so": "south", "st": "saint", "un": "union", "is": "islands", "isl": "islands", "isls": "islands", "up": "upper", "low": "lower", "i": "isle", "lr": "lower", "lwr": "lower", "nw": "new", "utd": "united", "prov": "provinces", "comm": "commonwealth"}
+#: Words for a part of a place, or for a group of them.
+ELSEWHERE = ["province", "city", "district", "region", "county", "municipality", "town", "territory", "department", "coast", "capital", "economies", "countries", "states", "members", "world"]
 #: Remarks beside a name that don't change what it means.
 REMARKS = ["total", "est", "estimate", "estimated", "provisional", "prov", "revised", "note", "all", "areas", "whole", "country", "p", "r", "f"]
 #: Letters of other scripts that look like Latin ones.
@@ -166,6 +168,8 @@ class Book:
         # A digit inside a word stands for the letter that it resembles.
         tokens = [w.translate(DIGITS) if re.search("[a-z]", w) and re.search(r"\d", w) else w for w in tokens]
         tokens = [w for w in tokens if not w.isdigit()]
+        if any(w in ELSEWHERE for w in tokens):
+            return NONE, 0.0, "another place"
         if len(tokens) > 1:
             first, last = tokens[0], tokens[-1]
             if first in self.codes and first not in self.words:
