@@ -17,6 +17,10 @@ judged alike.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,32 +42,72 @@ STUCK_RUN, STICKY = 4, 0.5
 KINDS = ("one", "two", "end")
 
 
-def _readings(columns: list[str]) -> Column:
-    each = F.array(*[F.struct(F.lit(int(c)).alias("y"), F.nanvl(F.col(f"`{c}`"), F.lit(None).cast("double")).alias("v")) for c in columns])
-    return F.filter(each, lambda x: x["v"].isNotNull())
+def _aligned(values: np.ndarray, years: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The positive readings of each row moved to the left, NaN behind them, and their years."""
+    there = values > 0
+    order = np.argsort(~there, axis=1, kind="stable")
+    v = np.where(np.take_along_axis(there, order, axis=1), np.take_along_axis(values, order, axis=1), np.nan)
+    return v, years[order].astype(float)
+
+
+def _agree(*parts: np.ndarray) -> np.ndarray:
+    """The least size of parts that all have one sign, 0 where they haven't, NaN where one is missing."""
+    low, high = np.minimum.reduce(parts), np.maximum.reduce(parts)
+    return np.where(np.isnan(low), np.nan, np.where(low > 0, low, np.where(high < 0, -high, 0.0)))
+
+
+def residuals(values: np.ndarray, years: np.ndarray) -> dict[str, np.ndarray]:
+    """For rows of readings: the aligned readings `v` and years `y`, their moves `step`, and residuals `one`, `two` and `end`.
+
+    Offsets are differences of logarithms per root of the years between. `one` is how far a reading lies off both its
+    neighbours, `two` how far it and the reading of the next year lie off those around them, `end` how far a row's last
+    reading lies off the two before.
+    """
+    v, y = _aligned(values, years)
+    n, width = v.shape
+    log = np.log(v)
+
+    def off(i: int, j: int) -> np.ndarray:
+        """How far each reading shifted by i lies above the one shifted by j, at the place of the unshifted one."""
+        out = np.full((n, width), np.nan)
+        lo, hi = max(0, -i, -j), width - max(0, i, j)
+        if lo < hi:
+            a, b = slice(lo + i, hi + i), slice(lo + j, hi + j)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out[:, lo:hi] = (log[:, a] - log[:, b]) / np.sqrt(np.abs(y[:, a] - y[:, b]))
+        return out
+
+    before, before2 = off(0, -1), off(0, -2)
+    pair = np.full((n, width), False)
+    pair[:, :-1] = y[:, 1:] == y[:, :-1] + 1
+    two = np.where(pair, _agree(before, off(0, 2), off(1, -1), off(1, 2)), np.nan)
+    count = (~np.isnan(v)).sum(axis=1)
+    last = np.arange(width)[None, :] == count[:, None] - 1
+    end = np.where(last, np.where(before * before2 > 0, np.minimum(np.abs(before), np.abs(before2) * np.sqrt(2.0)), np.where(np.isnan(before2), np.nan, 0.0)), np.nan)
+    return {"v": v, "y": y, "step": np.abs(before), "one": _agree(before, off(0, 1)), "two": two, "end": end}
+
+
+def _matrix(batch: pd.DataFrame, columns: list[str]) -> np.ndarray:
+    return batch[columns].to_numpy(dtype=float, na_value=np.nan)
 
 
 def series(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """row_id, code and `s`: the positive readings in order, each with its steps and residuals."""
-    base = rows.withColumn("code", code_key(F.col("FIPS_CODE"))).where("code IS NOT NULL").select("row_id", "code", _readings(columns).alias("all"))
-    base = base.withColumn("p", F.filter("all", lambda x: x["v"] > 0))
-    n = F.size("p")
-    at = lambda i: F.get(F.col("p"), i)
-    gap = lambda a, b: F.sqrt(F.abs(b["y"] - a["y"]).cast("double"))
-    # How far x lies above (or below) its neighbour a, per root of the years between.
-    off = lambda x, a: F.ln(x["v"] / a["v"]) / gap(a, x)
-    agree = lambda parts: F.when(F.least(*parts) > 0, F.least(*parts)).when(F.greatest(*parts) < 0, -F.greatest(*parts)).otherwise(0.0)
-
-    def one(x: Column, i: Column) -> Column:
-        return F.struct(
-            x["y"].alias("y"), x["v"].alias("v"),
-            F.when(i > 0, F.abs(off(x, at(i - 1)))).alias("step"),
-            F.when((i > 0) & (i < n - 1), agree([off(x, at(i - 1)), off(x, at(i + 1))])).alias("one"),
-            F.when((i > 0) & (i < n - 2) & (at(i + 1)["y"] == x["y"] + 1), agree([off(x, at(i - 1)), off(x, at(i + 2)), off(at(i + 1), at(i - 1)), off(at(i + 1), at(i + 2))])).alias("two"),
-            F.when((i == n - 1) & (i > 1), F.when(off(x, at(i - 1)) * off(x, at(i - 2)) > 0, F.least(F.abs(off(x, at(i - 1))), F.abs(off(x, at(i - 2))) * F.sqrt(F.lit(2.0)))).otherwise(0.0)).alias("end"),
-        )
-
-    return base.select("row_id", "code", "all", F.transform("p", one).alias("s"))
+    """row_id, code and the readings of the rows that have a code."""
+    base = rows.withColumn("code", code_key(F.col("FIPS_CODE"))).where("code IS NOT NULL")
+    return base.select("row_id", "code", *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+
+
+def moves(ready: DataFrame, columns: list[str]) -> DataFrame:
+    """code, step, one and two of each reading; whole batches of rows are computed at once."""
+    years = np.array([int(c) for c in columns])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            r = residuals(_matrix(batch, columns), years)
+            keep = ~np.isnan(r["step"])
+            yield pd.DataFrame({"code": np.repeat(batch["code"].to_numpy(), keep.sum(axis=1)), **{k: r[k][keep] for k in ("step", "one", "two")}})
+
+    return ready.mapInPandas(run, "code string, step double, one double, two double").select("code", *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in ("step", "one", "two")])
 
 
 def _quantiles(c: str, name: str) -> list[Column]:
@@ -71,9 +115,9 @@ def _quantiles(c: str, name: str) -> list[Column]:
     return [q.alias(f"{name}_q"), F.count(c).alias(f"{name}_n")]
 
 
-def behaviour(ready: DataFrame) -> DataFrame:
+def behaviour(ready: DataFrame, columns: list[str]) -> DataFrame:
     """Per code: its median move, the share of zero moves, and the cutoff of each kind of residual."""
-    long = ready.select("code", F.explode("s").alias("r")).select("code", "r.step", "r.one", "r.two")
+    long = moves(ready, columns)
     # What a last year does against those before is what any year does.
     moved = F.when(F.col("step") > 0, F.col("step"))
     stats = long.groupBy("code").agg(
@@ -103,34 +147,36 @@ def behaviour(ready: DataFrame) -> DataFrame:
     return both.select("code", F.coalesce("still", F.lit(1.0)).alias("still"), *[c.alias(n) for n, c in cuts.items()])
 
 
-def flagged(rows: DataFrame, columns: list[str], reasons: bool = True) -> DataFrame:
+def flagged(rows: DataFrame, columns: list[str]) -> DataFrame:
     """row_id, yr and reason (impossible, spike, stuck) of each implausible reading; one row per reading and reason."""
     ready = series(rows, columns)
-    known = salted_lookup(ready, behaviour(ready), ["code"])
-    bad = F.transform(F.filter("all", lambda x: x["v"] <= 0), lambda x: F.struct(x["y"].alias("yr"), F.lit("impossible").alias("reason")))
-    at = lambda i: F.get(F.col("s"), i)
-    spike = lambda x, i: (
-        F.coalesce(x["one"] > F.col("cut_one"), F.lit(False))
-        | F.coalesce(x["two"] > F.col("cut_two"), F.lit(False))
-        | F.coalesce(F.when(i > 0, at(i - 1)["two"] > F.col("cut_two")), F.lit(False))
-        | F.coalesce(x["end"] > F.col("cut_end"), F.lit(False))
-    )
-    spikes = F.filter(F.transform("s", lambda x, i: F.struct(x["y"].alias("yr"), F.when(spike(x, i), "spike").alias("reason"))), lambda r: r["reason"].isNotNull())
-    # A reading is stuck if it equals the one before and lies in STUCK_RUN equal ones: some window around it is all equal.
-    equal = lambda i: F.coalesce(F.when(i > 0, at(i)["v"] == at(i - 1)["v"]), F.lit(False))
-
-    def stuck(x: Column, i: Column) -> Column:
-        windows = []
-        for back in range(STUCK_RUN - 1):
-            whole = F.lit(True)
-            for j in range(STUCK_RUN - 1):
-                whole = whole & equal(i - back + j)
-            windows.append(whole)
-        any_window = windows[0]
-        for w in windows[1:]:
-            any_window = any_window | w
-        return equal(i) & any_window
-
-    still = F.filter(F.transform("s", lambda x, i: F.struct(x["y"].alias("yr"), F.when((F.col("still") < STICKY) & stuck(x, i), "stuck").alias("reason"))), lambda r: r["reason"].isNotNull())
-    out = known.select("row_id", F.explode(F.concat(bad, spikes, still)).alias("f"))
-    return out.select("row_id", F.col("f.yr").cast("int").alias("yr"), "f.reason")
+    known = salted_lookup(ready, behaviour(ready, columns), ["code"])
+    years = np.array([int(c) for c in columns])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = _matrix(batch, columns)
+            r = residuals(values, years)
+            cut = {k: batch[f"cut_{k}"].to_numpy(dtype=float, na_value=np.inf)[:, None] for k in KINDS}
+            still = batch["still"].to_numpy(dtype=float, na_value=1.0)[:, None]
+            twice = r["two"] > cut["two"]
+            spike = (r["one"] > cut["one"]) | twice | (r["end"] > cut["end"])
+            spike[:, 1:] |= twice[:, :-1]
+            # A reading is stuck if it equals the one before and lies in STUCK_RUN equal ones.
+            equal = np.zeros_like(spike)
+            equal[:, 1:] = r["v"][:, 1:] == r["v"][:, :-1]
+            run_of = STUCK_RUN - 1
+            places = max(0, equal.shape[1] - run_of + 1)
+            whole = np.ones((len(batch), places), dtype=bool)
+            for j in range(run_of):
+                whole &= equal[:, j : places + j]
+            stuck = np.zeros_like(spike)
+            for j in range(run_of):
+                stuck[:, j : j + places] |= whole
+            stuck &= still < STICKY
+            ids = batch["row_id"].to_numpy()
+            for mask, year, reason in ((spike, r["y"], "spike"), (stuck, r["y"], "stuck"), (values <= 0, np.broadcast_to(years, values.shape), "impossible")):
+                at = np.nonzero(mask)
+                yield pd.DataFrame({"row_id": ids[at[0]], "yr": year[at].astype("int32"), "reason": reason})
+
+    return known.mapInPandas(run, "row_id bigint, yr int, reason string")
