@@ -32,18 +32,18 @@ def _pieces(line: Column) -> Column:
     return F.split(F.coalesce(line, F.lit("")), '"', -1)
 
 
-def _outside(pieces: Column) -> Column:
-    return F.filter(pieces, lambda x, i: i % 2 == 0)
+def _middle(pieces: Column) -> Column:
+    """The pieces but the first and the last. Lambdas over them must not name `pieces`, which would be cut anew each time."""
+    return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0)))
 
 
 def well_quoted(line: Column, delimiter: Column) -> Column:
     """Whether each field that begins with a quote ends with one, inner ones doubled, and no other field holds a quote."""
     pieces = _pieces(line)
     last = F.size(pieces) - 1
-    middle_ok = F.forall(
-        F.transform(pieces, lambda x, i: F.when((i % 2 == 1) | (i == 0) | (i == last), True).otherwise((x == "") | (F.startswith(x, delimiter) & F.endswith(x, delimiter)))),
-        lambda ok: ok,
-    )
+    # Of the middle pieces every second, from the second on, lies outside quotes.
+    outside = F.filter(_middle(pieces), lambda x, i: i % 2 == 1)
+    middle_ok = F.forall(outside, lambda x: (x == "") | (F.startswith(x, delimiter) & F.endswith(x, delimiter)))
     first, end = F.element_at(pieces, 1), F.element_at(pieces, -1)
     ends_ok = (last == 0) | (((first == "") | F.endswith(first, delimiter)) & ((end == "") | F.startswith(end, delimiter)))
     return (last % 2 == 0) & ends_ok & middle_ok
@@ -52,17 +52,15 @@ def well_quoted(line: Column, delimiter: Column) -> Column:
 def fields(line: Column, delimiter: Column) -> Column:
     """The unquoted fields of a well-quoted line."""
     pieces = _pieces(line)
-    last = F.size(pieces) - 1
-    masked = F.transform(
-        pieces,
-        lambda x, i: F.when(i % 2 == 1, x).when((x == "") & (i > 0) & (i < last), F.lit('"')).otherwise(F.replace(x, delimiter, F.lit(CUT))),
-    )
-    return F.split(F.array_join(masked, ""), CUT, -1)
+    cut = lambda x: F.replace(x, delimiter, F.lit(CUT))
+    middle = F.transform(_middle(pieces), lambda x, i: F.when(i % 2 == 0, x).when(x == "", F.lit('"')).otherwise(cut(x)))
+    end = F.when(F.size(pieces) > 1, cut(F.element_at(pieces, -1))).otherwise("")
+    return F.split(F.concat(cut(F.element_at(pieces, 1)), F.array_join(middle, ""), end), CUT, -1)
 
 
 def field_count(line: Column, delimiter: Column) -> Column:
     """Number of fields of a well-quoted line, without cutting it."""
-    cuts = F.transform(_outside(_pieces(line)), lambda x: F.length(x) - F.length(F.replace(x, delimiter, F.lit(""))))
+    cuts = F.transform(F.filter(_pieces(line), lambda x, i: i % 2 == 0), lambda x: F.length(x) - F.length(F.replace(x, delimiter, F.lit(""))))
     return F.aggregate(cuts, F.lit(1), lambda a, b: a + b)
 
 
