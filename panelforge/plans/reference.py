@@ -283,7 +283,7 @@ def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ALIAS = """al AS (SELECT DISTINCT lower(trim(regexp_replace(a, '\\s+', ' ', 'g'))) AS norm, code FROM (SELECT ifs_name AS a, ifs_fipscode AS code FROM country_data UNION ALL SELECT unnest(alternative_names), ifs_fipscode FROM country_data) WHERE trim(a) <> ''),
-nm AS (SELECT trim(Country) AS original_name, count(*) AS "rows" FROM seriesdemopopulation WHERE trim(Country) <> '' AND regexp_full_match(trim(Country), '[\\x20-\\x7e]*') GROUP BY 1),
+nm AS (SELECT regexp_replace(Country, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS original_name, count(*) AS "rows" FROM seriesdemopopulation GROUP BY 1 HAVING original_name <> '' AND regexp_full_match(original_name, '[\\x20-\\x7e]*')),
 cc AS (SELECT original_name, "rows", count(DISTINCT code) AS n, min(code) AS code FROM nm LEFT JOIN al ON lower(trim(regexp_replace(original_name, '\\s+', ' ', 'g'))) = norm GROUP BY ALL),
 conc AS (SELECT original_name, "rows", CASE WHEN n = 1 THEN code END AS code, CASE WHEN n = 1 THEN 'matched' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS status FROM cc)"""
 
