@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
 
 import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import Column, DataFrame
 
 NUMBER = re.compile(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?")
 #: At most 15 digits and no exponent: every such text is held by a DOUBLE, which shows it again.
@@ -52,20 +51,24 @@ def has_fraction(text: str) -> bool:
     return exact != int(exact)
 
 
-@F.pandas_udf(StringType())
-def verdict(text: pd.Series) -> pd.Series:
-    """`reason_against` of each text; meant for distinct texts that PLAIN doesn't settle."""
-    return text.map(reason_against)
+def judge(once: DataFrame, whole: str | None = None, settled: str | None = None) -> DataFrame:
+    """The rows (distinct texts in `value`) that are no such numbers, with `detail`.
 
+    Where the boolean column `whole` holds, a number with a fraction is `fraction`. A text whose column `settled` isn't null
+    is invalid for that reason, number or not. A map over batches rather than a
+    function in a filter: the planner would push the latter below the distinct and judge every row.
+    """
 
-@F.pandas_udf(StringType())
-def whole_verdict(text: pd.Series) -> pd.Series:
-    """As `verdict`, and `fraction` for a number that isn't whole."""
-
-    def one(t: str | None) -> str | None:
-        return reason_against(t) or ("fraction" if has_fraction(t) else None)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            asked = batch[whole] if whole else [False] * len(batch)
+            known = batch[settled] if settled else [None] * len(batch)
+            detail = [s or reason_against(t) or ("fraction" if w and has_fraction(t) else None) for t, w, s in zip(batch["value"], asked, known)]
+            batch = batch.assign(detail=detail)
+            yield batch[batch["detail"].notna()]
 
-    return text.map(one)
+    kinds = ", ".join(f"`{c}` {t}" for c, t in once.dtypes)
+    return once.mapInPandas(run, f"{kinds}, detail string")
 
 
 def is_plain(c: Column) -> Column:

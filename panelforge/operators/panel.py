@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import is_blank, strip
-from panelforge.functions.numbers import verdict
+from panelforge.functions.numbers import judge
 
 MONADIC = ("entity", "code")
 DYADIC = ("entity", "code", "partner", "partner_code")
@@ -114,7 +114,8 @@ def strict(df: DataFrame, value: str) -> DataFrame:
     c = F.col(f"`{value}`")
     action = F.when(c.isNull(), None).when(is_blank(c), "blank_to_null").when(c.rlike(INFINITY), "infinity_to_null").otherwise("numeric_text_to_double")
     tagged = df.withColumn("_act", action)
-    odd = tagged.where("_act = 'numeric_text_to_double'").select(c.alias("_t")).distinct().select("_t", verdict("_t").alias("_why")).where("_why IS NOT NULL")
+    odd = tagged.where("_act = 'numeric_text_to_double'").select(c.alias("value")).distinct()
+    odd = judge(odd).select(F.col("value").alias("_t"), F.col("detail").alias("_why"))
     judged = tagged.join(odd, F.when(F.col("_act") == "numeric_text_to_double", c) == F.col("_t"), "left")
     number = F.when((F.col("_act") == "numeric_text_to_double") & F.col("_why").isNull(), F.regexp_replace(c, r"[ \t]", "").try_cast("double"))
     return judged.withColumns({"number": number, "action": F.when(F.col("_why").isNull(), F.col("_act")), "error": F.col("_why")}).drop("_act", "_t", "_why")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import is_blank, salted_lookup, strip
-from panelforge.functions.numbers import PLAIN_WHOLE, is_plain, verdict, whole_verdict
+from panelforge.functions.numbers import PLAIN_WHOLE, is_plain, judge
 
 DELIMITERS = (",", ";", "|", "\t")
 #: Stands for the delimiter while a line is cut up; a Unicode noncharacter, reserved from interchange.
@@ -80,9 +80,8 @@ def _kind_and_suspect(kind: Column, value: Column) -> Column:
 
 def invalid_values(suspects: DataFrame) -> DataFrame:
     """The dictionary (kind, value, detail) of the invalid among suspect values, each distinct one cast once."""
-    once = suspects.select("kind", "value").distinct()
-    judged = once.withColumn("detail", F.when(F.col("kind") == "flag", F.lit("no flag")).when(F.col("kind") == "integer", whole_verdict("value")).otherwise(verdict("value")))
-    return judged.where(F.col("detail").isNotNull())
+    once = suspects.select("kind", "value").distinct().withColumns({"whole": F.col("kind") == "integer", "settled": F.when(F.col("kind") == "flag", "no flag")})
+    return judge(once, "whole", "settled").select("kind", "value", "detail")
 
 
 def _judged(rows: DataFrame, kind: Column, value: Column) -> DataFrame:

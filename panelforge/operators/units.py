@@ -14,12 +14,12 @@ result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from panelforge.functions.columns import salted_lookup
 
@@ -103,9 +103,14 @@ def weighted_edits(a: str, b: str) -> float:
     return rows[-1][-1]
 
 
-@F.pandas_udf(DoubleType())
-def _edits(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([weighted_edits(x, y) for x, y in zip(a, b)])
+def _measured(near: DataFrame) -> DataFrame:
+    """near with the weighted edits between token and known; a map, so that the planner measures grouped pairs only."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(edits=[weighted_edits(x, y) for x, y in zip(batch["token"], batch["known"])])
+
+    return near.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in near.dtypes) + ", edits double")
 
 
 def match_words(tokens: DataFrame) -> DataFrame:
@@ -116,7 +121,7 @@ def match_words(tokens: DataFrame) -> DataFrame:
     index = book.where(F.length("known") >= 5).withColumn("gram", F.explode(grams(F.col("known")))).withColumn("known_grams", F.size(grams(F.col("known"))))
     met = odd.withColumn("token_grams", F.size(grams(F.col("token")))).withColumn("gram", F.explode(grams(F.col("token")))).join(index, "gram")
     near = met.groupBy("token", "known", "scale", "kind", "token_grams", "known_grams").agg(F.count("*").alias("n")).where(2 * F.col("n") / (F.col("token_grams") + F.col("known_grams")) >= SHARED)
-    measured = near.withColumn("edits", _edits("token", "known")).where(F.col("edits") <= F.when(F.length("token") >= 8, 2.0).otherwise(1.0))
+    measured = _measured(near).where(F.col("edits") <= F.when(F.length("token") >= 8, 2.0).otherwise(1.0))
     best = measured.groupBy("token").agg(F.min(F.struct("edits", "known")).alias("b"), F.min_by(F.struct("scale", "kind"), F.struct("edits", "known")).alias("k"))
     # Two words at the same distance with other scales decide nothing.
     tied = measured.join(best.select("token", F.col("b.edits").alias("edits"), F.coalesce("k.scale", F.lit(0.0)).alias("s")), ["token", "edits"]).where(F.coalesce("scale", F.lit(0.0)) != F.col("s")).select("token").distinct()
