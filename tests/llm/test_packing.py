@@ -28,7 +28,8 @@ def test_plan_places_everything_once():
     assert placed == counts
     number = sum(t for _, t, _ in bins)
     assert [f for f, _, _ in bins] == list(itertools.accumulate([0, *[t for _, t, _ in bins][:-1]]))
-    assert number <= 1.01 * sum(s * n for s, n in counts.items()) / 300 + 1
+    # 8 times 37 leave 4 of 300 unused, whatever fills the other bins
+    assert number <= 1.015 * sum(s * n for s, n in counts.items()) / 300 + 1
     assert packing.plan({}, 10) == [] and packing.plan({0: 5}, 10) == []
 
 
