@@ -35,14 +35,20 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+#: Columns that tell rows apart, of which the first that is there spreads them.
+IDS = ("row_id", "doc_id", "record_id", "change_id", "item_id")
+
+
 def salted_lookup(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
     """Join rows to a lookup that is unique in `on`, spreading the rows of each key over `salts` partitions.
 
     The lookup is copied `salts` times, so a key that holds a third of all rows is met by that many tasks. A lookup small
     enough for spark.sql.autoBroadcastJoinThreshold is broadcast by the planner from its measured size and the salt is idle.
-    Only `inner`, `left`, `left_semi` and `left_anti` keep this meaning.
+    Only `inner`, `left`, `left_semi` and `left_anti` keep this meaning. The salt is a hash of the row's id, or of all its
+    columns where it has none: a task that is run again salts its rows as before.
     """
     salt = "_salt"
-    spread = rows.withColumn(salt, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
+    by = [c for c in IDS if c in rows.columns and c not in on][:1] or [c for c, t in rows.dtypes if "map<" not in t and "variant" not in t]
+    spread = rows.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by]), F.lit(salts)).cast("int"))
     copies = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, salt], how).drop(salt)
