@@ -44,3 +44,13 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(root.parent))
     context.addPyFile(str(archive))
     context._panelforge_shipped = True
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df over all cores where its files give fewer tasks than there are cores; rows go by a hash, so a rerun puts them alike.
+
+    For work in Python that costs far more than moving its rows: a handful of small files would otherwise be a handful of tasks.
+    """
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if have >= parallel else df.repartition(2 * parallel, *by)
