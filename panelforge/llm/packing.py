@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.session import cut
+from panelforge.session import cut, spread
 
 #: Ranks to the tokenizer's vocabulary, one `base64 rank` a line; a path that every executor can read.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -43,7 +43,7 @@ def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFram
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": [len(coder.encode_ordinary(t)) for t in batch["text"]]})
 
-    return documents.where("text IS NOT NULL").select("doc_id", "text").mapInPandas(run, "doc_id bigint, tokens bigint")
+    return spread(documents.where("text IS NOT NULL").select("doc_id", "text"), "doc_id").mapInPandas(run, "doc_id bigint, tokens bigint")
 
 
 def pieces(counts: DataFrame, capacity: int) -> DataFrame:

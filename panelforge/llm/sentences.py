@@ -19,6 +19,8 @@ import pandas as pd
 import regex as re
 from pyspark.sql import DataFrame
 
+from panelforge.session import spread
+
 # Abbreviations after which a sentence never ends, and such that may end one.
 NEVER = """
 dr mr mrs ms prof rev gen col capt lt st sr sra srta dra mme mlle mm m hr fr frl herr jr mag ing dipl
@@ -326,4 +328,4 @@ def sentence_units(documents: DataFrame) -> DataFrame:
                     ids.append(doc), nos.append(k), starts.append(a), ends.append(b)
             yield pd.DataFrame({"doc_id": ids, "unit_no": nos, "start_pos": starts, "end_pos": ends})
 
-    return documents.select("doc_id", "text").where("text IS NOT NULL").mapInPandas(run, "doc_id bigint, unit_no int, start_pos int, end_pos int")
+    return spread(documents.select("doc_id", "text").where("text IS NOT NULL"), "doc_id").mapInPandas(run, "doc_id bigint, unit_no int, start_pos int, end_pos int")
