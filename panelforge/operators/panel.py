@@ -11,8 +11,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.functions.columns import is_blank, strip
-from panelforge.functions.numbers import judge
+from panelforge.functions.columns import is_blank, salted_lookup, strip
+from panelforge.functions.numbers import is_plain, judge
 
 MONADIC = ("entity", "code")
 DYADIC = ("entity", "code", "partner", "partner_code")
@@ -113,12 +113,14 @@ def strict(df: DataFrame, value: str) -> DataFrame:
     """
     c = F.col(f"`{value}`")
     action = F.when(c.isNull(), None).when(is_blank(c), "blank_to_null").when(c.rlike(INFINITY), "infinity_to_null").otherwise("numeric_text_to_double")
-    tagged = df.withColumn("_act", action)
-    odd = tagged.where("_act = 'numeric_text_to_double'").select(c.alias("value")).distinct()
-    odd = judge(odd).select(F.col("value").alias("_t"), F.col("detail").alias("_why"))
-    judged = tagged.join(odd, F.when(F.col("_act") == "numeric_text_to_double", c) == F.col("_t"), "left")
-    number = F.when((F.col("_act") == "numeric_text_to_double") & F.col("_why").isNull(), F.regexp_replace(c, r"[ \t]", "").try_cast("double"))
-    return judged.withColumns({"number": number, "action": F.when(F.col("_why").isNull(), F.col("_act")), "error": F.col("_why")}).drop("_act", "_t", "_why")
+    numeric = F.coalesce(action == "numeric_text_to_double", F.lit(False))
+    tagged = df.withColumns({"_act": action, "_odd": numeric & ~F.coalesce(is_plain(c), F.lit(False)), "_t": c})
+    odd = tagged.where("_odd")
+    book = judge(odd.select(F.col("_t").alias("value")).distinct()).select(F.col("value").alias("_t"), F.col("detail").alias("_why"))
+    # Only texts that no pattern settles meet the dictionary.
+    judged = salted_lookup(odd, book, ["_t"]).unionByName(tagged.where("NOT _odd").withColumn("_why", F.lit(None).cast("string")))
+    number = F.when((F.col("_act") == "numeric_text_to_double") & F.col("_why").isNull(), F.regexp_replace("_t", r"[ \t]", "").try_cast("double"))
+    return judged.withColumns({"number": number, "action": F.when(F.col("_why").isNull(), F.col("_act")), "error": F.col("_why")}).drop("_act", "_t", "_why", "_odd")
 
 
 def scaled(value: Column, multiplier: float, least: float | None = None, most: float | None = None) -> tuple[Column, Column]:
