@@ -26,16 +26,18 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.columns import code_key, salted_lookup
 
-#: Share of residuals that a cutoff lets through by chance.
-RISK = 1e-7
+#: Share of residuals that a cutoff lets through by chance: one in a hundred thousand.
+RISK = 1e-5
 #: The tail begins at the first quantile; its fit uses the two behind it, which halve what is left each time. Single moves,
 #: by which last years are judged, also hold real moves to another level; their fit stays clear of those.
 PEAKS = {"one": (0.90, 0.95, 0.975), "two": (0.90, 0.95, 0.975), "end": (0.80, 0.90, 0.95)}
 #: With fewer residuals than this a source borrows the pooled tail.
 MIN_TAIL, MIN_MOVES = 120, 6
-#: Bounds on the pooled shape; population figures have no heavier tail, faults do.
-SHAPE = (-0.25, 0.15)
-#: A cutoff lies at least this far beyond the median move.
+#: Bounds on the pooled shape: no lighter than exponential, which would end the tail within the data, and no heavier than
+#: population figures have; faults do.
+SHAPE = (0.0, 0.15)
+#: A floor for cutoffs in median moves. It decides where a small table leaves too few residuals for a tail (sf0.01). On larger
+#: ones it lifts many cutoffs a little, which changes few flags: 2 of 425 on sf0.1.
 LEAST = 6.0
 #: A stuck run has so many equal readings, in a source of which less than this share of moves is zero.
 STUCK_RUN, STICKY = 4, 0.5
@@ -111,8 +113,10 @@ def moves(ready: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _quantiles(c: str, name: str) -> list[Column]:
-    q = F.percentile_approx(c, F.array(*[F.lit(p) for p in PEAKS[name]]), F.lit(2000))
-    return [q.alias(f"{name}_q"), F.count(c).alias(f"{name}_n")]
+    # Most readings don't stick out at all; a tail is a matter of those that do.
+    out = F.when(F.col(c) > 0, F.col(c))
+    q = F.percentile_approx(out, F.array(*[F.lit(p) for p in PEAKS[name]]), F.lit(2000))
+    return [q.alias(f"{name}_q"), F.count(out).alias(f"{name}_n")]
 
 
 def behaviour(ready: DataFrame, columns: list[str]) -> DataFrame:
@@ -130,7 +134,7 @@ def behaviour(ready: DataFrame, columns: list[str]) -> DataFrame:
         F.percentile_approx("median", 0.5).alias("all_median"),
         *[F.expr(f"percentile_approx(({k}_q[{i}]) / median, 0.5)").alias(f"{k}_p{i}") for k in KINDS for i in range(3)],
     )
-    both = stats.crossJoin(F.broadcast(pooled))  # one row
+    both = stats.join(F.broadcast(pooled), how="cross")  # one row
     median = F.when((F.col("moves") >= MIN_MOVES) & (F.col("median") > 0), F.col("median")).otherwise(F.coalesce("all_median", F.lit(0.05)))
     cuts = {"base": median}
     for k in KINDS:
