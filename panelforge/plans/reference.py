@@ -299,7 +299,7 @@ def _concordance(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_ALIAS} SELECT * FROM conc")
 def concordance_match(spark: SparkSession, d: str) -> DataFrame:
-    """Exact matches of names to codes. The SQL folds ASCII only, so names beyond it are held back here and tested apart."""
+    """Exact matches of names in ASCII to codes, which is as far as the SQL can fold; `concordance_match_whole` has all names."""
     return _concordance(spark, d).where(F.col("original_name").rlike(r"^[\x20-\x7e]*\z"))
 
 
@@ -313,6 +313,22 @@ def concordance_status(spark: SparkSession, d: str) -> DataFrame:
     return identity.bundle_status(concordance_match(spark, d))
 
 
+@query()
+def concordance_match_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Exact matches of all names to codes, those beyond ASCII included; DuckDB has no NFKC, tests hold it against brute force."""
+    return _concordance(spark, d).where("original_name <> ''")
+
+
+@query()
+def converging_targets_whole(spark: SparkSession, d: str) -> DataFrame:
+    return identity.converging(concordance_match_whole(spark, d)).withColumn("sources", F.col("sources").cast("bigint"))
+
+
+@query()
+def concordance_status_whole(spark: SparkSession, d: str) -> DataFrame:
+    return identity.bundle_status(concordance_match_whole(spark, d))
+
+
 @query("""WITH r AS (SELECT ifs_name AS entity, ifs_fipscode AS code FROM country_data), al AS (SELECT norm, list_sort(list(DISTINCT code)) AS ch, bool_or(own) AS own FROM (SELECT lower(trim(regexp_replace(ifs_name, '\\s+', ' ', 'g'))) AS norm, ifs_fipscode AS code, true AS own FROM country_data
  UNION ALL SELECT lower(trim(regexp_replace(a, '\\s+', ' ', 'g'))), code, false FROM (SELECT unnest(alternative_names) AS a, ifs_fipscode AS code FROM country_data) WHERE trim(a) <> '') GROUP BY 1),
 s AS (SELECT row_id, Country, trim(FIPS_CODE) AS c FROM seriesdemopopulation WHERE Country IS NULL OR regexp_full_match(Country, '[\\x20-\\x7e]*')),
