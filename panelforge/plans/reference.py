@@ -341,6 +341,13 @@ def repair_identity(spark: SparkSession, d: str) -> DataFrame:
     return identity.repair_identity(rows, _roster(spark, d), _alias(spark, d)).select("row_id", "decision", "fixed_code")
 
 
+@query()
+def repair_identity_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions for all rows, names beyond ASCII included; `repair_identity` has those that its SQL can fold."""
+    rows = table(spark, d, "seriesdemopopulation").select("row_id", F.col("Country").alias("entity"), F.col("FIPS_CODE").alias("code"))
+    return identity.repair_identity(rows, _roster(spark, d), _alias(spark, d)).select("row_id", "decision", "fixed_code")
+
+
 @query("SELECT trim(Country) AS name, count(*) AS n, min(row_id) AS first_row FROM seriesdemopopulation WHERE trim(Country) <> '' GROUP BY 1")
 def distinct_names(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "seriesdemopopulation").select(F.trim("Country").alias("name"), "row_id").where("name <> ''")
