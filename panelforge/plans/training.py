@@ -12,11 +12,15 @@ from panelforge.operators import drift, snapshots, spikes, triage, units, wide
 from panelforge.session import table
 
 YEARS = [str(y) for y in range(2004, 2024)]
-#: Fields of the consistent metadata table and their types.
+#: Fields of the consistent metadata table and their types: all those of datadict.
 FIELDS = {
     "Table": "string", "Variable": "string", "Definition": "string", "Units": "string", "Source": "string", "Notes": "string",
     "CURRENCY": "string", "Years": "string", "Group": "string", "Decimal Places": "bigint", "Proprietary": "bigint",
-    "UsedInFunctions": "bigint", "UsedInHistAnalog": "bigint",
+    "UsedInFunctions": "bigint", "UsedInHistAnalog": "bigint", "TreatNullsAs0s": "bigint", "UsedInPreprocessor": "bigint",
+    "CompareOtherForecast": "bigint", "Cohort": "string", "Extended Source Defn": "string", "Original Source": "string",
+    "UsedInPreprocessorFileName": "string", "DisplayNotes": "string", "SubGroup": "string", "Series": "string",
+    "CoVaTrA": "string", "Aggregation": "string", "Disaggregation": "string", "Last IFs Update": "string",
+    "Name in Source": "string", "Country Concordance": "string", "Code in Source": "string", "Formula": "string",
 }
 KEYS = ["dataset", "code", "yr"]
 
