@@ -24,9 +24,21 @@ class Delivery:
     mismatches: DataFrame
 
 
+#: Most names that a gate or an order takes to the driver; more are an error.
+MOST_NAMES = 10_000
+
+
+def names_of(df: DataFrame, column: str) -> set[str]:
+    """The distinct values of a column, or an error if there are more than MOST_NAMES."""
+    found = {r[column] for r in df.select(column).distinct().limit(MOST_NAMES + 1).collect()}
+    if len(found) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} values of {column}")
+    return found
+
+
 def ordered(batches: DataFrame, order: list[str]) -> DataFrame:
     """Batches with seq by the given order; the base is 0. The order must name every batch once."""
-    named = {r["batch"] for r in batches.select("batch").distinct().limit(10_000).collect()} - {"base"}
+    named = names_of(batches, "batch") - {"base"}
     if set(order) != named or len(order) != len(set(order)):
         raise ValueError(f"the order must name each of {sorted(named)} once")
     pairs = F.create_map(*[F.lit(x) for kv in {"base": 0, **{b: i + 1 for i, b in enumerate(order)}}.items() for x in kv])
@@ -80,7 +92,7 @@ def quality(base: DataFrame, incoming: DataFrame, final: DataFrame, rules: Rules
 
 def gate(findings: DataFrame, decisions: dict[str, str]) -> list[str]:
     """Tables with findings for which no decision (accept or hold, with a reason after a colon) was made; empty opens the gate."""
-    tables = [r["table_name"] for r in findings.select("table_name").distinct().limit(10_000).collect()]
+    tables = names_of(findings, "table_name")
     fine = {t for t, d in decisions.items() if d.split(":", 1)[0] in ("accept", "hold") and len(d.split(":", 1)) == 2 and d.split(":", 1)[1].strip()}
     return sorted(t for t in tables if t not in fine)
 
