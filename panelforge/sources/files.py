@@ -73,12 +73,16 @@ def fail_on(rows: DataFrame) -> DataFrame:
 
 
 def read_wide_csv(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """A wide CSV of keys and year columns as a long panel; cells that are no numbers are an error."""
-    text = read_text_csv(spark, path)
+    """A wide CSV of keys and year columns as a long panel; cells that are no numbers are an error.
+
+    Each cell of a line of another width has the violation `width` and no value: its numbers may belong to other years.
+    """
+    text = read_text_csv(spark, path).withColumn("_wide", F.col("_bad").isNotNull())
     years = panel.year_columns(text)
-    long = text.where("_bad IS NULL").select(*keys, *years).unpivot(list(keys), years, "year", "raw")
+    long = text.select(*keys, "_wide", *years).unpivot([*keys, "_wide"], years, "year", "raw")
     number, failed = panel.lenient(F.col("raw"), [], [])
-    return long.select(*keys, F.col("year").cast("int").alias("year"), number.alias("value"), F.when(failed, "value").alias("violation"))
+    why = F.when(F.col("_wide"), "width").when(failed, "value")
+    return long.select(*keys, F.col("year").cast("int").alias("year"), F.when(~F.col("_wide"), number).alias("value"), why.alias("violation"))
 
 
 def read_zip_csv(spark: SparkSession, path: str, member: str = ".csv") -> DataFrame:
