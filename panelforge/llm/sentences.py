@@ -3,8 +3,9 @@
 The rules are those of the standard sentence-break properties: units end at the terminators of all scripts (STerm, ATerm)
 with the closing marks behind them (Close), unless what follows or an abbreviation forbids it. On top come abbreviations and
 ordinals by language, quotations and brackets that hold whole sentences, lists, blank lines, and the space as a terminator
-in Thai, Lao, Khmer and Burmese. Language tags are not trusted: abbreviations of all languages apply wherever their words
-occur, and scripts decide the rest.
+in Thai, Lao, Khmer and Burmese. Language tags are not trusted: the languages of a text are told by its common words, and
+their abbreviations apply; a text without such words has those of all languages. Words that are abbreviations only sometimes
+(no, max, art, Jan.) are told by what follows.
 
 Defined results. Null, empty and blank texts have no units. Repeated texts each get their own. Positions count code points.
 A quotation or bracket without its partner in the same paragraph is an ordinary character. Texts of any length are read
@@ -13,6 +14,7 @@ once from left to right.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,18 +23,41 @@ from pyspark.sql import DataFrame
 
 from panelforge.session import spread
 
-# Abbreviations after which a sentence never ends, and such that may end one.
-NEVER = """
-dr mr mrs ms prof rev gen col capt lt st sr sra srta dra mme mlle mm m hr fr frl herr jr mag ing dipl
-fig figs tab tabs sec secs ch chap no nos nr num núm art vol ed eds pp p pág págs pag abb bd kap abs abt
-vgl cf ca approx aprox env vs viz ex ej bzw resp incl excl const tel ext stat dept z e.g i.e d.h z.b u.a p.ex p.ej
-jan feb mar apr jun jul aug sep sept oct nov dec janv févr avr juil déc ene abr ago dic mio mrd tsd max min
-см с стр рис табл напр ок ср им ул гл п пп ст тыс ред проф акад т.е
-د ص डॉ पृ श्री प्रो สพ
-""".split()
-SOMETIMES = """
-etc usw al inc ltd co corp u.p u.s u.k u.n a.m p.m am pm hab einw чел г гг т.д т.п др д п.м h min hrs yrs ff seq bros ave
-""".split()
+# Abbreviations by language. Titles and plain ones never end a sentence; numbered ones don't before a number,
+# a numeral or a letter, months and measures not before a digit, scales only before a word that begins sentences, and
+# `closing` ones may end one. Scripts of their own are
+# under "any", as no other language's words can be taken for them.
+ABBREVIATIONS = {
+    "any": {
+        "titles": "dr mr mrs prof ing st д-р проф акад डॉ श्री प्रो د",
+        "plain": "z ca approx vs tel ext resp e.g i.e см напр ок ср им ул тыс ред т.е",
+        "numbered": "nr fig figs tab tabs p pp abb n с стр рис табл гл п пп ст ص पृ สพ",
+        "months": "", "measures": "тыс", "scales": "", "closing": "etc al inc ltd co corp u.p u.s u.k u.n a.m p.m чел г гг т.д т.п др д п.м",
+    },
+    "en": {
+        "titles": "ms rev gen col capt lt jr", "plain": "cf viz incl excl const stat dept env ed eds", "numbered": "no nos sec secs ch chap art vol p pp num",
+        "months": "jan feb mar apr jun jul aug sep sept oct nov dec", "measures": "max min", "scales": "", "closing": "am pm h min hrs yrs ff seq bros ave",
+    },
+    "de": {
+        "titles": "hr fr frl mag dipl", "plain": "vgl bzw z.b d.h u.a incl excl inkl exkl", "numbered": "kap bd abs abt art",
+        "months": "jan feb mär apr jun jul aug sep sept okt nov dez", "measures": "max min", "scales": "mio mrd tsd", "closing": "usw hab einw u h ff",
+    },
+    "fr": {
+        "titles": "mm mme mlle mgr", "plain": "env p.ex ex cf excl incl", "numbered": "no nos chap art vol pag",
+        "months": "janv févr mars avr mai juin juil août sept oct nov déc", "measures": "max min", "scales": "mio mrd", "closing": "hab h",
+    },
+    "es": {
+        "titles": "sr sra srta dra sres", "plain": "aprox p.ej ej excl incl", "numbered": "no núm num pág págs art cap vol",
+        "months": "ene feb mar abr may jun jul ago sep sept oct nov dic", "measures": "max min máx mín", "scales": "", "closing": "hab h ee.uu",
+    },
+}
+#: Words by which the language of a text in Latin letters is told.
+COMMON = {
+    "en": "the of and to is was were in that for with by from at this",
+    "de": "der die das und ist wurde wurden nicht mit von im den dem ein eine",
+    "fr": "le les et des une est dans du pour par sur au aux la ne",
+    "es": "el los las y que del una por con para se su no la como",
+}
 MONTHS = """
 januar februar märz april mai juni juli august september oktober november dezember jänner halbjahr quartal jahrhundert jahr monat
 woche tag platz mal lieferung auflage ausgabe band kapitel
@@ -42,7 +67,14 @@ WEEKDAYS = "monday tuesday wednesday thursday friday saturday sunday est edt gmt
 #: Nouns after which a single letter is a label rather than an initial.
 LABELLED = "batch annex table sheet option plan column appendix group part section type class grade team unit item zone phase version stapel anhang gruppe tabelle lote anexo grupo tabla annexe groupe tableau lot партия группа таблица".split()
 #: Words that begin sentences and aren't names.
-STARTERS = "the a an in on at of for from before after since as is was are our one we it this that these there every contrary see no blank stop".split()
+STARTERS = """
+the a an in on at of for from before after since as is was are our one we it this that these there every contrary see no blank stop
+then he she they you i but and so if when while where who what why how his her their its my not all some many most each both
+by with to until during although because however yet still now here thus meanwhile later soon once
+der die das ein eine er sie es wir ihr dann danach aber und wenn weil als im am nach seit bis
+le la les un une il elle ils elles nous vous on puis mais et si quand dans depuis après
+el los las una ella ellos luego pero y cuando desde después
+""".split()
 SAYING = re.compile(r"\A\s*(?:[\p{L}.'’-]+\s+){1,4}(?:asked|said|wrote|replied|answered|added|noted)\b")
 CJK_SAYING = re.compile(r"\A[^。！？!?]{0,60}?(?:问|問|说|說|道|写|寫|答|云|称|言った|書いた|尋ねた|述べた|答えた|話した|という)[^。！？!?]{0,12}[。！？!?]")
 
@@ -55,14 +87,44 @@ BRACKETS = set("([{（［【〔")
 #: Everything at which the state changes: runs of terminators, quotation marks and brackets, and spaces between letters of
 #: scripts that end sentences by a space.
 SPACED = r"\p{Script=Thai}\p{Script=Lao}\p{Script=Khmer}\p{Script=Myanmar}"
-EVENT = re.compile(rf"(?P<term>[\p{{Sentence_Break=STerm}}\p{{Sentence_Break=ATerm}}…]+)|(?P<mark>[\"()\[\]{{}}（）［］【】〔〕「」『』《》〈〉«»“”„‹›])|(?P<space>(?<=[{SPACED}])\s+(?=[{SPACED}]))")
+EVENT = re.compile(rf"(?P<term>(?!\.[\p{{N}}\p{{Ll}}])[\p{{Sentence_Break=STerm}}\p{{Sentence_Break=ATerm}}…]+)|(?P<mark>[\"()\[\]{{}}（）［］【】〔〕「」『』《》〈〉«»“”„‹›])|(?P<space>(?<=[{SPACED}])\s+(?=[{SPACED}]))")
 GLUED = re.compile(r"(?:(?<![/:@][\w.-]*)\p{Ll}{2,}|(?<![\p{L}_/:@])[\p{N}.,]*\p{N}|[)»”])[.!?]+(?:\p{Lu}[\p{Ll}\s'’.-]|[¿¡«„“])\Z")
 INVISIBLE = re.compile(r"\p{Cf}+")
+BLANKS = re.compile(r"[\s\p{Cf}]*+")
+INNER_POINTS = re.compile(r"(?:\p{L}\.)+\p{L}")
+NUMERAL = re.compile(r"\W*+(?:\p{L}*\p{N}|[IVXLC]+\b|\p{Lu}\b)")
+TAIL = re.compile(r"[\p{Sentence_Break=STerm}\p{Sentence_Break=ATerm}]+[\p{Sentence_Break=Close}\"'’]*\Z")
 WORD_BEFORE = re.compile(r"[\p{L}\p{M}\p{N}.\p{Cf}-]{1,40}\Z")
 PREVIOUS = re.compile(r"([\p{L}\p{M}\p{Cf}]+)(\.?)\s*\Z")
 NEXT_WORD = re.compile(r"[\p{L}\p{M}\p{Cf}]+")
 IDEOGRAPHIC = re.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}　-〿＀-￯]")
-NEVER_SET, SOMETIMES_SET, MONTH_SET, ORDINAL_SET, WEEKDAY_SET, LABEL_SET, STARTER_SET = map(frozenset, (NEVER, SOMETIMES, MONTHS, ORDINAL_BEFORE, WEEKDAYS, LABELLED, STARTERS))
+MONTH_SET, ORDINAL_SET, WEEKDAY_SET, LABEL_SET, STARTER_SET = map(frozenset, (MONTHS, ORDINAL_BEFORE, WEEKDAYS, LABELLED, STARTERS))
+COMMON_SETS = {lang: frozenset(words.split()) for lang, words in COMMON.items()}
+#: No abbreviation has so many letters.
+LONG_WORD = 7
+
+
+class Book:
+    """The abbreviations of a set of languages."""
+
+    def __init__(self, langs: tuple[str, ...]) -> None:
+        take = lambda kind: frozenset(w for lang in ("any", *langs) for w in ABBREVIATIONS[lang][kind].split())
+        self.titles, self.plain, self.numbered, self.months, self.measures, self.scales, self.closing = map(take, ("titles", "plain", "numbered", "months", "measures", "scales", "closing"))
+        self.never = self.titles | self.plain
+        self.all = self.never | self.numbered | self.months | self.measures | self.scales | self.closing
+
+
+@functools.cache
+def _book(langs: tuple[str, ...]) -> Book:
+    return Book(langs)
+
+
+def book_of(text: str) -> Book:
+    """The abbreviations of the languages that a text is written in, told by its common words; of all where it has none."""
+    words = set(text.lower().split())
+    seen = {lang: len(words & common) for lang, common in COMMON_SETS.items()}
+    top = max(seen.values())
+    return _book(tuple(lang for lang, n in seen.items() if 3 * n >= top))
 
 
 def _pairs(text: str, marks: list[re.Match]) -> dict[int, int]:
@@ -109,57 +171,93 @@ def _behind(text: str, at: int, shutting: set[int]) -> int:
 
 
 def _first_visible(text: str, at: int) -> str:
-    while at < len(text) and (text[at].isspace() or INVISIBLE.match(text[at])):
-        at += 1
+    at = BLANKS.match(text, at).end()
     return text[at] if at < len(text) else ""
 
 
-def _abbreviation(text: str, at: int, after: int) -> bool:
+def _word_before(text: str, at: int) -> str:
+    """The letters, digits, points and hyphens that end at `at`, at most forty."""
+    rest = text[max(0, at - 40) : at]
+    if not rest or rest[-1].isspace():
+        return ""
+    rest = rest.split()[-1]
+    if rest.isalpha():
+        return rest
+    m = WORD_BEFORE.search(rest)
+    return m.group() if m else ""
+
+
+def _is_long(text: str, at: int) -> bool:
+    """Whether the word before `at` is longer than any abbreviation."""
+    last = text[max(0, at - LONG_WORD) : at]
+    return len(last) == LONG_WORD and last.isalpha() and last.islower()
+
+
+def _abbreviation(text: str, at: int, after: int, book: Book) -> bool:
     """Whether the full stop at `at` belongs to an abbreviation or number that the sentence goes on after; `after`: behind its closers."""
-    m = WORD_BEFORE.search(text, max(0, at - 40), at)
-    if not m:
+    if _is_long(text, at):
         return False
-    seen = INVISIBLE.sub("", m.group())
+    raw = _word_before(text, at)
+    if not raw:
+        return False
+    seen = raw if raw.isalpha() else INVISIBLE.sub("", raw)
     if len(seen) > 1 and IDEOGRAPHIC.match(seen[-2]):
         seen = seen[-1]  # a name after a script without spaces
-    if any(len(p) > 2 for p in seen.split(".")):
+    if "." in seen and any(len(p) > 2 for p in seen.split(".")):
         seen = seen.rsplit(".", 1)[-1]  # a word glued to the sentence before
     word = seen.lstrip(".-").lower()
-    bare = word.rsplit("-", 1)[-1]
+    bare = word if word in book.all else word.rsplit("-", 1)[-1]
+    if len(bare) > 1 and bare not in book.all and "." not in bare and not word.isdigit():
+        return False
+    if bare in book.never:
+        # A single capital is an initial or a label, whatever abbreviation it may be in lower case.
+        if len(bare) > 1 or not seen[-1].isupper():
+            return True
     nxt = _first_visible(text, after)
-    following = NEXT_WORD.search(text, after, min(len(text), after + 40))
-    follow = INVISIBLE.sub("", following.group()).lower() if following and text[after : following.start()].strip("\"'«“„(¿¡[ \n\r\t ") == "" else ""
-    if following and following.end() < len(text) and text[following.end()] == "." and len(follow) == 1:
-        follow = ""  # another initial
-    before = PREVIOUS.search(text, max(0, m.start() - 40), m.start())
-    prior = INVISIBLE.sub("", before.group(1)).lower() if before else ""
-    lower = nxt.islower() and not _camel(text, after)
+    goes_on = nxt.isdigit() or nxt.islower() and not _camel(text, after)
+    if len(bare) > 1 and not word.isdigit():
+        if bare in ("др",) and _prior(text, at, raw)[0] in ("т", "и"):
+            return nxt.islower() and not _camel(text, after)
+        if goes_on or (bare in book.all and nxt in ",;:)-–—%"):
+            return True
+        if bare in book.numbered:
+            return bool(NUMERAL.match(text, after))
+        if bare in book.scales:
+            return _follow(text, after) not in STARTER_SET
+        if bare in book.closing:
+            return _follow(text, after) in WEEKDAY_SET
+        if "." in bare and INNER_POINTS.fullmatch(bare):
+            follow = _follow(text, after)
+            return bool(follow) and follow not in STARTER_SET
+        return False
+    prior, stopped = _prior(text, at, raw)
     if word.isdigit():
+        follow = _follow(text, after)
         return len(word) <= 2 and (follow in MONTH_SET and nxt.isupper() or prior in ORDINAL_SET and bool(follow))
-    if bare in ("b",) and prior == "z" or bare in ("h",) and prior == "d" or bare == "a" and prior == "u":
-        return True
-    if bare == "e" and prior == "т":
+    if bare == "b" and prior == "z" or bare == "h" and prior == "d" or bare == "a" and prior == "u" or bare == "e" and prior == "т":
         return True
-    if bare in ("д", "п", "др") and prior in ("т", "и"):
-        return lower
-    if len(bare) == 1 and bare.isalpha():
-        raw = INVISIBLE.sub("", m.group())[-1]
-        if bare == "г":
-            return lower
-        if bare in NEVER_SET and not raw.isupper():
-            return True
-        if raw.isupper():
-            if prior in LABEL_SET and not before.group(2) or follow in STARTER_SET:
-                return False
-            return True
-        return lower or nxt.isdigit()
-    if bare in NEVER_SET:
-        return True
-    if bare in SOMETIMES_SET:
-        return lower or nxt.isdigit() or nxt in ",;:)-–—%" or follow in WEEKDAY_SET
-    if "." in bare and re.fullmatch(r"(?:\p{L}\.)+\p{L}", bare):
-        return lower or nxt.isdigit() or (bool(follow) and follow not in STARTER_SET)
-    return False
+    if bare == "г" or bare in ("д", "п") and prior in ("т", "и"):
+        return nxt.islower() and not _camel(text, after)
+    if seen[-1].isupper():
+        # A letter before a word that begins sentences is a label, else an initial.
+        return not (prior in LABEL_SET and not stopped or _follow(text, after) in STARTER_SET)
+    return goes_on or bare in book.numbered and bool(NUMERAL.match(text, after))
+
+
+def _follow(text: str, after: int) -> str:
+    """The word behind `after`, blanks and opening marks aside, in lower case; none for an initial."""
+    m = NEXT_WORD.search(text, after, min(len(text), after + 40))
+    if not m or text[after : m.start()].strip("\"'«“„(¿¡[ \n\r\t ") != "":
+        return ""
+    word = INVISIBLE.sub("", m.group()).lower()
+    return "" if len(word) == 1 and m.end() < len(text) and text[m.end()] == "." else word
+
+
+def _prior(text: str, at: int, raw: str) -> tuple[str, bool]:
+    """The word before the one that ends at `at`, in lower case, and whether a full stop is behind it."""
+    start = at - len(raw)
+    m = PREVIOUS.search(text, max(0, start - 40), start)
+    return (INVISIBLE.sub("", m.group(1)).lower(), bool(m.group(2))) if m else ("", False)
 
 
 def _camel(text: str, at: int) -> bool:
@@ -168,16 +266,18 @@ def _camel(text: str, at: int) -> bool:
     return bool(m and len(m.group()) > 1 and m.group()[0].islower() and any(c.isupper() for c in m.group()[1:3]))
 
 
-def _ends(text: str, run: str, at: int, after: int) -> bool:
+def _ends(text: str, run: str, at: int, after: int, book: Book) -> bool:
     """Whether a run of terminators at `at` outside all marks ends a sentence; `after` is behind the closing marks."""
     if after >= len(text):
         return True
+    if run == "." and text[after] == " " and text[after + 1 : after + 2].isupper() and _is_long(text, at):
+        return True  # the usual case, settled without looking further
     if run[-1] in "。！？｡．।॥۔" or run[-1] == "؟":
         return True
     if not text[after].isspace():
         # A space was lost where prose or a number ends and a capital or an opening mark follows at once.
-        if GLUED.search(text, max(0, at - 40), min(len(text), after + 2)) and after == at + len(run):
-            return run[-1] in "!?" or not _abbreviation(text, at, after)
+        if after == at + len(run) and (text[after].isupper() or text[after] in "¿¡«„“") and GLUED.search(text, max(0, at - 40), min(len(text), after + 2)):
+            return run[-1] in "!?" or not _abbreviation(text, at, after, book)
         # Scripts without spaces end sentences with a western mark, too.
         return run[-1] in "!?" and bool(IDEOGRAPHIC.match(text[after])) and bool(IDEOGRAPHIC.match(text[at - 1] if at else "x"))
     nxt = _first_visible(text, after)
@@ -189,12 +289,12 @@ def _ends(text: str, run: str, at: int, after: int) -> bool:
     if set(run) <= {"."} or run[-1] in ".․﹒":
         if "!" in run or "?" in run:
             return True
-        if _abbreviation(text, at, after):
+        if _abbreviation(text, at, after, book):
             return False
         if lower:
             # Standard rules go on before lower case; only a full word of prose or a number settles that it ended.
-            m = WORD_BEFORE.search(text, max(0, at - 40), at)
-            return bool(m and (len(INVISIBLE.sub("", m.group())) >= 4 or m.group()[-1].isdigit()))
+            word = _word_before(text, at)
+            return bool(word) and (len(INVISIBLE.sub("", word)) >= 4 or word[-1].isdigit())
         return nxt not in ",;:"
     return nxt not in ",;:"
 
@@ -221,7 +321,7 @@ def _after_group(text: str, start: int, opened: int, end: int, inner: str) -> bo
     return own or not SAYING.match(text[end : end + 120])
 
 
-def _block_units(text: str, lo: int, hi: int) -> Iterator[int]:
+def _block_units(text: str, lo: int, hi: int, book: Book) -> Iterator[int]:
     """Ends of the units of one paragraph of prose, text[lo:hi]."""
     part = text[lo:hi]
     events = list(EVENT.finditer(part))
@@ -243,11 +343,11 @@ def _block_units(text: str, lo: int, hi: int) -> Iterator[int]:
             skip = close
             # The outermost group counts; behind its last sentence the unit may end.
             body = part[at + 1 : close].rstrip()
-            tail = re.search(r"[\p{Sentence_Break=STerm}\p{Sentence_Break=ATerm}]+[\p{Sentence_Break=Close}\"'’]*\Z", body)
+            tail = TAIL.search(body, max(0, len(body) - 40)) if body and not body[-1].isalnum() else None
             if tail:
                 stop = at + 1 + tail.start()
                 end = _behind(part, close, shutting)
-                short = part[stop] == "." and tail.group()[0] == "." and _inner_abbreviation(part, stop)
+                short = part[stop] == "." and tail.group()[0] == "." and _inner_abbreviation(part, stop, book)
                 if not short and _after_group(part, start, at, end, part[stop]):
                     yield lo + end
                     start = skip = end
@@ -257,7 +357,7 @@ def _block_units(text: str, lo: int, hi: int) -> Iterator[int]:
                 skip = close + 1
         else:
             end = _behind(part, m.end(), shutting)
-            if _ends(part, m.group(), at, end):
+            if _ends(part, m.group(), at, end, book):
                 yield lo + end
                 start = skip = end
             else:
@@ -265,10 +365,8 @@ def _block_units(text: str, lo: int, hi: int) -> Iterator[int]:
     yield hi
 
 
-def _inner_abbreviation(part: str, stop: int) -> bool:
-    m = WORD_BEFORE.search(part, max(0, stop - 40), stop)
-    word = INVISIBLE.sub("", m.group()).lower() if m else ""
-    return word in NEVER_SET or word in SOMETIMES_SET
+def _inner_abbreviation(part: str, stop: int, book: Book) -> bool:
+    return INVISIBLE.sub("", _word_before(part, stop)).lower() in book.all
 
 
 def _list_starts(text: str, lo: int, hi: int) -> list[int]:
@@ -294,17 +392,17 @@ def units(text: str | None) -> list[tuple[int, int]]:
     if not text:
         return []
     ends: list[int] = []
-    lo = 0
+    lo, book = 0, book_of(text)
     cuts = [(m.start(), m.end()) for m in BLANK_LINE.finditer(text)] + [(len(text), len(text))]
     for stop, behind in cuts:
         if lo < stop:
             starts = _list_starts(text, lo, stop)
             if starts:
                 if starts[0] > lo:
-                    ends.extend(_block_units(text, lo, starts[0]))
+                    ends.extend(_block_units(text, lo, starts[0], book))
                 ends.extend([*starts[1:], stop])
             else:
-                ends.extend(_block_units(text, lo, stop))
+                ends.extend(_block_units(text, lo, stop, book))
         lo = behind
     out = []
     before = 0

@@ -24,6 +24,9 @@ CASES = [
     "ผู้ตรวจ B. Houl อ่านตารางอีกครั้ง| โปรดหยุดการนำเข้าทันที| รุ่น 7.50 แทนที่รุ่น 9.31 แล้ว|",
     "A heading|\n\nText goes on\nover lines.| More.|\r\n\r\n1) ask R. Houl (tel. ext. 62)|\r\n2) Load it. Then stop.|\r\n\r\n- one|\n- two|",
     "Wrapped up in\n1984.| The end|",
+    # Words that are abbreviations only sometimes.
+    "The answer was no.| Then she left.|", "He set it to the max.| Then it broke.|", "They studied art.| It was fun.|", "We met in Jan.| He was late.|", "Vitamin C.| Then we left.|", "El no.| Pero sí.|",
+    "See No. 5, Art. IV and Fig. A for it.| It is max. 3 m.| We met in Jan. 1999.|", "Er meldete 53 Mio. Personen.| Es waren 3 Mio.| Dann nicht mehr.|", "The dog has a hab.| Tel. 5.|",
 ]
 
 
