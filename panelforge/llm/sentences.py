@@ -26,28 +26,28 @@ from panelforge.session import spread
 # Abbreviations by language. Titles and plain ones never end a sentence; numbered ones don't before a number,
 # a numeral or a letter, months and measures not before a digit, scales only before a word that begins sentences, and
 # `closing` ones may end one. Scripts of their own are
-# under "any", as no other language's words can be taken for them.
+# under "any" like all that is no ordinary word elsewhere, as no other language's words can be taken for them.
 ABBREVIATIONS = {
     "any": {
-        "titles": "dr mr mrs prof ing st д-р проф акад डॉ श्री प्रो د",
-        "plain": "z ca approx vs tel ext resp e.g i.e см напр ок ср им ул тыс ред т.е",
-        "numbered": "nr fig figs tab tabs p pp abb n с стр рис табл гл п пп ст ص पृ สพ",
-        "months": "", "measures": "тыс", "scales": "", "closing": "etc al inc ltd co corp u.p u.s u.k u.n a.m p.m чел г гг т.д т.п др д п.м",
+        "titles": "dr mr mrs prof ing st mme mlle sra srta д-р проф акад डॉ श्री प्रो د",
+        "plain": "z ca approx aprox bzw vgl vs tel ext resp e.g i.e см напр ок ср им ул тыс ред т.е",
+        "numbered": "nr núm pág págs fig figs tab tabs p pp abb n с стр рис табл гл п пп ст ص पृ สพ",
+        "months": "", "measures": "тыс", "scales": "", "closing": "etc usw al inc ltd co corp u.p u.s u.k u.n a.m p.m чел г гг т.д т.п др д п.м",
     },
     "en": {
         "titles": "ms rev gen col capt lt jr", "plain": "cf viz incl excl const stat dept env ed eds", "numbered": "no nos sec secs ch chap art vol p pp num",
         "months": "jan feb mar apr jun jul aug sep sept oct nov dec", "measures": "max min", "scales": "", "closing": "am pm h min hrs yrs ff seq bros ave",
     },
     "de": {
-        "titles": "hr fr frl mag dipl", "plain": "vgl bzw z.b d.h u.a incl excl inkl exkl", "numbered": "kap bd abs abt art",
-        "months": "jan feb mär apr jun jul aug sep sept okt nov dez", "measures": "max min", "scales": "mio mrd tsd", "closing": "usw hab einw u h ff",
+        "titles": "hr fr frl mag dipl", "plain": "z.b d.h u.a incl excl inkl exkl", "numbered": "kap bd abs abt art",
+        "months": "jan feb mär apr jun jul aug sep sept okt nov dez", "measures": "max min", "scales": "mio mrd tsd", "closing": "hab einw u h ff",
     },
     "fr": {
-        "titles": "mm mme mlle mgr", "plain": "env p.ex ex cf excl incl", "numbered": "no nos chap art vol pag",
+        "titles": "mm mgr", "plain": "env p.ex ex cf excl incl", "numbered": "no nos chap art vol pag",
         "months": "janv févr mars avr mai juin juil août sept oct nov déc", "measures": "max min", "scales": "mio mrd", "closing": "hab h",
     },
     "es": {
-        "titles": "sr sra srta dra sres", "plain": "aprox p.ej ej excl incl", "numbered": "no núm num pág págs art cap vol",
+        "titles": "sr dra sres", "plain": "p.ej ej excl incl", "numbered": "no num art cap vol",
         "months": "ene feb mar abr may jun jul ago sep sept oct nov dic", "measures": "max min máx mín", "scales": "", "closing": "hab h ee.uu",
     },
 }
@@ -100,6 +100,8 @@ NEXT_WORD = re.compile(r"[\p{L}\p{M}\p{Cf}]+")
 IDEOGRAPHIC = re.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}　-〿＀-￯]")
 MONTH_SET, ORDINAL_SET, WEEKDAY_SET, LABEL_SET, STARTER_SET = map(frozenset, (MONTHS, ORDINAL_BEFORE, WEEKDAYS, LABELLED, STARTERS))
 COMMON_SETS = {lang: frozenset(words.split()) for lang, words in COMMON.items()}
+#: A text with fewer distinct common words doesn't tell its language.
+TOLD = 5
 #: No abbreviation has so many letters.
 LONG_WORD = 7
 
@@ -124,7 +126,7 @@ def book_of(text: str) -> Book:
     words = set(text.lower().split())
     seen = {lang: len(words & common) for lang, common in COMMON_SETS.items()}
     top = max(seen.values())
-    return _book(tuple(lang for lang, n in seen.items() if 3 * n >= top))
+    return _book(tuple(lang for lang, n in seen.items() if 3 * n >= top or top < TOLD))
 
 
 def _pairs(text: str, marks: list[re.Match]) -> dict[int, int]:
@@ -218,7 +220,10 @@ def _abbreviation(text: str, at: int, after: int, book: Book) -> bool:
     if len(bare) > 1 and not word.isdigit():
         if bare in ("др",) and _prior(text, at, raw)[0] in ("т", "и"):
             return nxt.islower() and not _camel(text, after)
-        if goes_on or (bare in book.all and nxt in ",;:)-–—%"):
+        known = bare in book.all
+        if not known and not INNER_POINTS.fullmatch(bare):
+            return False
+        if goes_on or known and nxt in ",;:)-–—%":
             return True
         if bare in book.numbered:
             return bool(NUMERAL.match(text, after))
@@ -226,10 +231,8 @@ def _abbreviation(text: str, at: int, after: int, book: Book) -> bool:
             return _follow(text, after) not in STARTER_SET
         if bare in book.closing:
             return _follow(text, after) in WEEKDAY_SET
-        if "." in bare and INNER_POINTS.fullmatch(bare):
-            follow = _follow(text, after)
-            return bool(follow) and follow not in STARTER_SET
-        return False
+        follow = _follow(text, after)
+        return bool(follow) and follow not in STARTER_SET
     prior, stopped = _prior(text, at, raw)
     if word.isdigit():
         follow = _follow(text, after)
