@@ -47,14 +47,22 @@ def p8_slack(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def _leaks(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).where(F.col("kind") == kind)
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+    return _leaks(spark, d, "verbatim").select("doc_id", "item_id")
+
+
+def p9_paraphrases(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold an item's passage in other words, with the part of it and of its answers that they keep."""
+    return _leaks(spark, d, "paraphrase").select("doc_id", "item_id", "share", "answers")
 
 
 def p9_leaked_items(spark: SparkSession, d: str) -> DataFrame:
-    """Evaluation items that leaked, with the number of documents that hold them."""
-    found = leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
-    return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("windows").alias("most_windows"))
+    """Evaluation items that leaked word for word, with the number of documents that hold them."""
+    return _leaks(spark, d, "verbatim").groupBy("item_id").agg(F.count("*").alias("documents"), F.max("windows").alias("most_windows"))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -69,7 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p5_found": p5_found, "p5_misses": p5_misses,
         "p8_standard": _packed("standard"), "p8_short": _packed("short"), "p8_long": _packed("long"), "p8_slack": p8_slack,
-        "p9_found": p9_found, "p9_leaked_items": p9_leaked_items, "p10_found": p10_found, "p10_units": p10_units,
+        "p9_found": p9_found, "p9_paraphrases": p9_paraphrases, "p9_leaked_items": p9_leaked_items, "p10_found": p10_found, "p10_units": p10_units,
     }
 
 
