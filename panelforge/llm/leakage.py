@@ -92,6 +92,7 @@ class Passage:
     units: list[str] | str
     windows: frozenset
     masks: dict[str, int]
+    repeats: int
 
 
 class Passages:
@@ -122,7 +123,7 @@ class Passages:
         masks: dict[str, int] = {}
         for k, u in enumerate(units):
             masks[u] = masks.get(u, 0) | 1 << k
-        return Passage(item, units, frozenset(windows(units, step)), masks)
+        return Passage(item, units, frozenset(windows(units, step)), masks, len(units) - len(masks))
 
 
 def windows(units: list[str] | str, size: int) -> list:
@@ -262,29 +263,36 @@ class Finder:
             # The last row of the space is zero and stands for unknown terms.
             vectors = _normed(self.space[both].sum(axis=1))
             rows, cols = np.nonzero(vectors @ self.target[first:last].T >= self.near)
-            for r, c in zip(rows.tolist(), cols.tolist()):
-                self._check(mine[owners[part[r]]], int(starts[part[r]]), first + c, step, hits)
+            at = np.searchsorted(rows, np.arange(len(part) + 1))
+            for r in np.flatnonzero(np.diff(at)).tolist():
+                self._check(mine[owners[part[r]]], int(starts[part[r]]), (first + cols[at[r] : at[r + 1]]).tolist(), step, hits)
         for (text, item), (shared, share, kept) in hits.items():
             yield text, item, len(shared), share, kept
 
-    def _check(self, text: tuple[int, list[str] | str], start: int, c: int, step: int, hits: dict) -> None:
-        """Check a candidate on its words; kept are windows that both sides hold and paraphrases."""
+    def _check(self, text: tuple[int, list[str] | str], start: int, candidates: list[int], step: int, hits: dict) -> None:
+        """Check the candidates of a document passage on their words; kept are windows that both sides hold and paraphrases."""
         no, units = text
-        passage = self.known.all[c]
-        size = len(passage.units)
         around = units[max(0, start - step) : start + 3 * step]
-        share = common_subsequence(passage.masks, size, around) / size
-        # Without its windows' length in common there is neither a window nor a paraphrase.
-        if share * size < step:
-            return
-        shared = passage.windows.intersection(windows(units[start : start + 2 * step], step))
-        answers = self.answers[c]
-        kept = sum(1 for t in answers if t in around) / len(answers) if answers else 0.0
-        alike = share >= LIKE and kept >= ANSWERED if len(answers) > 1 else share >= LIKE_WITHOUT_ANSWERS and kept == len(answers)
-        if shared or alike:
-            old = hits.setdefault((no, passage.item), [set(), 0.0, 0.0])
-            old[0] |= shared
-            old[1], old[2] = max(old[1], share), max(old[2], kept)
+        there = frozenset(around)
+        mine = None
+        for c in candidates:
+            passage = self.known.all[c]
+            # Without a window's length in common there is neither a window nor a paraphrase; shared words bound that length.
+            if len(there & passage.masks.keys()) + passage.repeats < step:
+                continue
+            size = len(passage.units)
+            share = common_subsequence(passage.masks, size, around) / size
+            if share * size < step:
+                continue
+            mine = windows(units[start : start + 2 * step], step) if mine is None else mine
+            shared = passage.windows.intersection(mine)
+            answers = self.answers[c]
+            kept = sum(1 for t in answers if t in around) / len(answers) if answers else 0.0
+            alike = share >= LIKE and kept >= ANSWERED if len(answers) > 1 else share >= LIKE_WITHOUT_ANSWERS and kept == len(answers)
+            if shared or alike:
+                old = hits.setdefault((no, passage.item), [set(), 0.0, 0.0])
+                old[0] |= shared
+                old[1], old[2] = max(old[1], share), max(old[2], kept)
 
 
 def finder(documents: DataFrame, rows: list[tuple[int, str | None, str | None]], near: float = NEAR) -> Finder | None:
