@@ -4,12 +4,13 @@ A name is read as its qualifiers (north, islands, isle), its form of government
 Cores are looked up in a symmetric-delete dictionary of the reference's cores: every deletion of up to two characters of a
 known core points at it, so a typed core finds all cores within two edits by its own deletions alone. Candidates are ranked
 by weighted Damerau-Levenshtein distance, then by how often the reference bears the word. Each distinct text is looked up
-once. The dictionary holds some hundred deletions per reference word; it is built from the reference list after a check of
-its size and carried to the tasks in the closure; a longer list is joined as a table of deletions instead.
+once. The dictionary holds some hundred deletions per reference word; up to MOST_NAMES entries it is carried to the tasks. A
+longer list is joined as a table of deletions: each text meets the entries that share a deletion, a code or a name with it,
+and is then decided among them as it would be among all.
 
 Defined results. Null texts aren't looked up. A text that holds a word which is no part of a known name, two names, or a core
-that several entries share without their qualifiers is `NONE`. Empty and blank texts are `NONE`. Texts longer than
-LONGEST characters are no names and `NONE`. A tie between entries at equal distance and frequency is `NONE`. Repeated rows
+that several entries share without their qualifiers is `NONE`. Empty and blank texts are `NONE`. Texts may have any length;
+blanks around them don't count. A tie between entries at equal distance and frequency is `NONE`. Repeated rows
 get the same result.
 """
 
@@ -29,8 +30,9 @@ from panelforge.functions.columns import salted_lookup
 NONE = "NONE"
 #: Most edits between a typed and a known core, and for cores shorter than SHORT.
 EDITS, SHORT, SHORT_EDITS = 2, 6, 1
-LONGEST = 200
-#: A reference of up to so many names is carried in the closure (about 1 kB of deletions a name); a longer one is refused.
+#: Most edits in a whole text without its blanks: one, or two from so many characters on.
+WHOLE_EDITS, LONG = 2, 10
+#: A reference of up to so many entries is carried in the closure (some kB of deletions each); a longer one is joined.
 MOST_NAMES = 20_000
 
 # Words that name no place by themselves.
@@ -117,6 +119,7 @@ class Book:
         self.known = self._index(self.cores)
         self.helpers = self._index({w: None for w in self.words if len(w) >= 3})
         self.whole = self._index(self.joined)
+        self.longest = max(map(len, [*self.cores, *self.joined, *self.words]), default=0)
 
     @staticmethod
     def _index(words: dict) -> dict[str, list[str]]:
@@ -126,9 +129,10 @@ class Book:
                 index[d].append(w)
         return dict(index)
 
-    @staticmethod
-    def _near(word: str, index: dict[str, list[str]], most: int) -> list[tuple[float, str]]:
-        """Indexed words within `most` edits, by their distance."""
+    def _near(self, word: str, index: dict[str, list[str]], most: int) -> list[tuple[float, str]]:
+        """Indexed words within `most` edits, by their distance; one that is longer than all of them by more has none."""
+        if len(word) > self.longest + most:
+            return []
         seen = {w for d in deletions(word, most) for w in index.get(d, ())}
         close = [(distance(word, w, most), w) for w in seen]
         return sorted(x for x in close if x[0] <= min(most, EDITS if len(x[1]) >= SHORT else SHORT_EDITS))
@@ -154,8 +158,6 @@ class Book:
 
     def find(self, text: str) -> tuple[str, float, str]:
         """code (or NONE), distance and the way it was found."""
-        if len(text) > LONGEST:
-            return NONE, 0.0, "too long"
         t = fold(text)
         bare = " ".join(re.findall(r"\w+", t))
         if not bare:
@@ -201,7 +203,7 @@ class Book:
             return NONE, 0.0, "other qualifier"
         # Blanks lost or set within a word: the whole text without blanks.
         joined = "".join(tokens)
-        near = self._near(joined, self.whole, 1) if len(core) != 1 or len(joined) >= SHORT else []
+        near = self._near(joined, self.whole, _whole_edits(joined)) if len(core) != 1 or len(joined) >= SHORT else []
         if near:
             codes = set().union(*[self.joined[w] for cost, w in near if cost == near[0][0]])
             if len(codes) == 1:
@@ -209,17 +211,76 @@ class Book:
         return NONE, 0.0, "unknown"
 
 
-def reference(countries: DataFrame) -> list[tuple[str, str, list[str]]]:
-    """The reference list, after a check of its size."""
-    rows = countries.where("ifs_fipscode IS NOT NULL").select("ifs_fipscode", "ifs_name", "alternative_names").limit(MOST_NAMES + 1).collect()
-    if len(rows) > MOST_NAMES:
-        raise ValueError(f"The reference list has more than {MOST_NAMES} names")
-    return [(r[0], r[1] or "", [x for x in (r[2] or []) if x]) for r in rows]
+def _whole_edits(joined: str) -> int:
+    return WHOLE_EDITS if len(joined) >= LONG else 1
+
+
+def entry_keys(code: str, names: list[str]) -> set[str]:
+    """What leads to an entry: its code, its names, and the deletions of its cores and of its names without blanks."""
+    own = Book([(code, "", names)])
+    marked = {"a": own.exact, "c": own.known, "j": own.whole}
+    return {f"k{code.casefold()}"} | {kind + key for kind, keys in marked.items() for key in keys}
+
+
+def text_keys(text: str, longest: int) -> set[str]:
+    """What a text may meet an entry by. Words longer than any key of the reference by more than the edits meet none."""
+    bare = " ".join(re.findall(r"\w+", fold(text)))
+    tokens = [w.translate(DIGITS) if re.search("[a-z]", w) and re.search(r"\d", w) else w for w in bare.split()]
+    tokens = [w for w in tokens if not w.isdigit()]
+    keys = {"a" + bare} | {"k" + w for w in tokens}
+    for w in {SHORT_FORMS.get(w, w) for w in tokens}:
+        if len(w) <= longest + EDITS:
+            keys |= {"c" + d for d in deletions(w, EDITS if len(w) >= SHORT else SHORT_EDITS)}
+    for joined in {"".join(tokens), "".join(tokens[1:]), "".join(tokens[:-1])}:
+        if len(joined) <= longest + WHOLE_EDITS:
+            keys |= {"j" + d for d in deletions(joined, _whole_edits(joined))}
+    return keys
+
 
+def resolve_by_join(texts: DataFrame, countries: DataFrame) -> DataFrame:
+    """The same as `resolve` for a reference list of any length, which never leaves the cluster."""
+    listed = countries.where("ifs_fipscode IS NOT NULL").select("ifs_fipscode", "ifs_name", "alternative_names")
 
-def resolve(texts: DataFrame, countries: DataFrame) -> DataFrame:
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(k, r.ifs_fipscode) for r in batch.itertuples() for k in entry_keys(r.ifs_fipscode, _names(r.ifs_name, r.alternative_names))]
+            yield pd.DataFrame(found, columns=["key", "code"])
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(t, k) for t in batch["typed"] for k in text_keys(t, longest)], columns=["typed", "key"])
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [Book([(e["code"], e["ifs_name"] or "", _names(None, e["alternative_names"])) for e in (entries if entries is not None else [])]).find(t) for t, entries in zip(batch["typed"], batch["entries"])]
+            yield pd.DataFrame({"typed": batch["typed"], "ifs_fipscode": [f[0] for f in found], "edits": [f[1] for f in found], "how": [f[2] for f in found]})
+
+    once = texts.select("typed").where("typed IS NOT NULL").distinct()
+    keyed = listed.mapInPandas(index, "key string, code string")
+    longest = keyed.agg(F.max(F.length("key"))).first()[0] or 0
+    met = once.mapInPandas(ask, "typed string, key string").join(keyed, "key").select("typed", "code").distinct()
+    entries = met.join(listed.withColumnRenamed("ifs_fipscode", "code"), "code").groupBy("typed").agg(F.collect_list(F.struct("code", "ifs_name", "alternative_names")).alias("entries"))
+    return once.join(entries, "typed", "left").mapInPandas(decide, RESOLVED)
+
+
+def _names(name: str | None, others: object) -> list[str]:
+    return [x for x in [name, *(others if others is not None else [])] if x]
+
+
+RESOLVED = "typed string, ifs_fipscode string, edits double, how string"
+
+
+def reference(countries: DataFrame, most: int = MOST_NAMES) -> list[tuple[str, str, list[str]]] | None:
+    """The reference list, or None if it has more than `most` entries."""
+    rows = countries.where("ifs_fipscode IS NOT NULL").select("ifs_fipscode", "ifs_name", "alternative_names").limit(most + 1).collect()
+    return None if len(rows) > most else [(r[0], r[1] or "", _names(None, r[2])) for r in rows]
+
+
+def resolve(texts: DataFrame, countries: DataFrame, most: int = MOST_NAMES) -> DataFrame:
     """typed, ifs_fipscode (or NONE), edits and how, for each distinct non-null text of the column `typed`."""
-    entries = reference(countries)
+    entries = reference(countries, most)
+    if entries is None:
+        return resolve_by_join(texts, countries)
 
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         book = Book(entries)
@@ -227,8 +288,9 @@ def resolve(texts: DataFrame, countries: DataFrame) -> DataFrame:
             found = [book.find(t) for t in batch["typed"]]
             yield pd.DataFrame({"typed": batch["typed"], "ifs_fipscode": [f[0] for f in found], "edits": [f[1] for f in found], "how": [f[2] for f in found]})
 
-    once = texts.select("typed").where("typed IS NOT NULL").distinct()
-    return once.mapInPandas(look_up, "typed string, ifs_fipscode string, edits double, how string")
+    # Distinct texts are small, so that they would be put together into one task.
+    once = texts.select("typed").where("typed IS NOT NULL").distinct().repartition(2 * texts.sparkSession.sparkContext.defaultParallelism, "typed")
+    return once.mapInPandas(look_up, RESOLVED)
 
 
 def resolve_rows(rows: DataFrame, countries: DataFrame, column: str = "Country") -> DataFrame:
