@@ -288,8 +288,8 @@ def resolve(texts: DataFrame, countries: DataFrame, most: int = MOST_NAMES) -> D
             found = [book.find(t) for t in batch["typed"]]
             yield pd.DataFrame({"typed": batch["typed"], "ifs_fipscode": [f[0] for f in found], "edits": [f[1] for f in found], "how": [f[2] for f in found]})
 
-    # Distinct texts are small, so that they would be put together into one task.
-    once = texts.select("typed").where("typed IS NOT NULL").distinct().repartition(2 * texts.sparkSession.sparkContext.defaultParallelism, "typed")
+    # Distinct texts are small, so that they would be put together into one task; by the column itself the planner would merge both.
+    once = texts.select("typed").where("typed IS NOT NULL").distinct().repartition(2 * texts.sparkSession.sparkContext.defaultParallelism, F.xxhash64("typed"))
     return once.mapInPandas(look_up, RESOLVED)
 
 
