@@ -2,17 +2,17 @@
 
 Residuals are what a reading sticks out of its neighbours: in logarithms and per root of the years between, for one year
 alone, for two years together, and for the last year. Yearly figures have no season; the neighbours are the local level.
-Per source and kind of residual a generalized Pareto tail is fitted to the peaks over the 90 % point; the shape is pooled
-over all sources (on residuals divided by the source's median move), the scale is the source's own, both from quantiles,
-so that the faults themselves don't stretch the tail. A reading beyond the cutoff at a fixed risk is flagged. Rules for
-impossible and for stuck readings come on top.
+Per source and kind of residual a generalized Pareto tail, threshold, scale and shape, is fitted to the peaks over the 90 %
+point, by quantiles, so that the faults themselves don't stretch it. The fit of a source is drawn towards the pool of all
+sources (on residuals divided by the source's median move) by how few residuals it has, without a switch: a source of a
+thousand follows itself, one of ten the others. A reading beyond the cutoff at a fixed risk is flagged. Rules for impossible
+and for stuck readings come on top.
 
 All statistics are mergeable quantile summaries: a source that holds a third of all rows is summed up by many tasks.
 
 Defined results. Rows without a code and null or NaN readings are left out; codes meet trimmed and in any case. Zero and
-negative readings are flagged and aren't neighbours. A row with a single reading can only be impossible. A source with few
-moves borrows the pooled tail, scaled by its median move, or all of it if it has fewer than MIN_MOVES. Repeated rows are
-judged alike.
+negative readings are flagged and aren't neighbours. A row with a single reading can only be impossible. A source without
+moves has the pooled median move and tail. Repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -25,20 +25,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import code_key, salted_lookup
+from panelforge.session import cut
 
 #: Share of residuals that a cutoff lets through by chance: one in a hundred thousand.
 RISK = 1e-5
 #: The tail begins at the first quantile; its fit uses the two behind it, which halve what is left each time. Single moves,
 #: by which last years are judged, also hold real moves to another level; their fit stays clear of those.
 PEAKS = {"one": (0.90, 0.95, 0.975), "two": (0.90, 0.95, 0.975), "end": (0.80, 0.90, 0.95)}
-#: With fewer residuals than this a source borrows the pooled tail.
-MIN_TAIL, MIN_MOVES = 120, 6
-#: Bounds on the pooled shape: no lighter than exponential, which would end the tail within the data, and no heavier than
-#: population figures have; faults do.
+#: Residuals at which a source's own fit and the pooled one count alike, and moves at which their median moves do.
+EVEN, EVEN_MOVES = 300, 6
+#: Bounds on the shape: no lighter than exponential, which would end the tail within the data, and no heavier than population
+#: figures have; faults do.
 SHAPE = (0.0, 0.15)
-#: A floor for cutoffs in median moves. It decides where a small table leaves too few residuals for a tail (sf0.01). On larger
-#: ones it lifts many cutoffs a little, which changes few flags: 2 of 425 on sf0.1.
+#: A floor for cutoffs in median moves where there is nothing to fit a tail to; it fades as a source's own fit gains weight.
 LEAST = 6.0
+#: An own step between quantiles counts as this part of the pooled one at least, as rounded figures have equal quantiles.
+FINEST = 1e-3
 #: A stuck run has so many equal readings, in a source of which less than this share of moves is zero.
 STUCK_RUN, STICKY = 4, 0.5
 KINDS = ("one", "two", "end")
@@ -115,56 +117,69 @@ def moves(ready: DataFrame, columns: list[str]) -> DataFrame:
 def _quantiles(c: str, name: str) -> list[Column]:
     # Most readings don't stick out at all; a tail is a matter of those that do.
     out = F.when(F.col(c) > 0, F.col(c))
-    q = F.percentile_approx(out, F.array(*[F.lit(p) for p in PEAKS[name]]), F.lit(2000))
+    q = F.percentile_approx(out, F.array(*[F.lit(p) for p in PEAKS[name]]), F.lit(1000))
     return [q.alias(f"{name}_q"), F.count(out).alias(f"{name}_n")]
 
 
-def behaviour(ready: DataFrame, columns: list[str]) -> DataFrame:
-    """Per code: its median move, the share of zero moves, and the cutoff of each kind of residual."""
+def _steps(q: Column) -> list[Column]:
+    """The first of three quantiles and the two steps behind it."""
+    return [q[0], q[1] - q[0], q[2] - q[1]]
+
+
+def _drawn(own: list[Column], pooled: list[Column], weight: Column) -> list[Column]:
+    """Own and pooled values mixed in logarithms, so that a few faults among few residuals move the mix little."""
+    mix = lambda a, b: F.exp(weight * F.ln(F.greatest(a, b * FINEST)) + (1 - weight) * F.ln(b))
+    return [F.when(weight > 0, mix(a, b)).otherwise(b) for a, b in zip(own, pooled)]
+
+
+def behaviour(ready: DataFrame, columns: list[str], risk: float = RISK) -> DataFrame:
+    """Per code: the share of zero moves, its median move, and the cutoff of each kind of residual with its threshold and shape."""
     long = moves(ready, columns)
     # What a last year does against those before is what any year does.
     moved = F.when(F.col("step") > 0, F.col("step"))
-    stats = long.groupBy("code").agg(
-        F.percentile_approx(moved, 0.5, F.lit(2000)).alias("median"), F.count(moved).alias("moves"), F.avg((F.col("step") == 0).cast("double")).alias("still"),
+    stats = cut(long.groupBy("code").agg(
+        F.percentile_approx(moved, 0.5, F.lit(1000)).alias("median"), F.count(moved).alias("moves"), F.avg((F.col("step") == 0).cast("double")).alias("still"),
         *[c for k in KINDS for c in _quantiles(k if k != "end" else "step", k)],
-    )
+    ))
     # Pooled over sources: each source's tail in units of its own median move. Sources are few rows by now.
-    usable = stats.where((F.col("moves") >= MIN_MOVES) & (F.col("median") > 0))
+    usable = stats.where((F.col("moves") >= EVEN_MOVES) & (F.col("median") > 0))
     pooled = usable.agg(
         F.percentile_approx("median", 0.5).alias("all_median"),
         *[F.expr(f"percentile_approx(({k}_q[{i}]) / median, 0.5)").alias(f"{k}_p{i}") for k in KINDS for i in range(3)],
     )
     both = stats.join(F.broadcast(pooled), how="cross")  # one row
-    median = F.when((F.col("moves") >= MIN_MOVES) & (F.col("median") > 0), F.col("median")).otherwise(F.coalesce("all_median", F.lit(0.05)))
-    cuts = {"base": median}
+    trust = F.col("moves") / (F.col("moves") + F.lit(float(EVEN_MOVES)))
+    anyone = F.coalesce("all_median", F.lit(0.05))
+    median = F.when(F.col("median") > 0, F.exp(trust * F.ln("median") + (1 - trust) * F.ln(anyone))).otherwise(anyone)
+    told = both.withColumn("base", median)
+    out = [F.coalesce("still", F.lit(1.0)).alias("still"), F.col("base")]
     for k in KINDS:
-        p = [F.coalesce(F.col(f"{k}_p{i}"), F.lit(float(2 + i))) for i in range(3)]
-        spread, further = F.greatest(p[1] - p[0], F.lit(1e-6)), F.greatest(p[2] - p[1], F.lit(1e-6))
+        p0, p1, p2 = [F.coalesce(F.col(f"{k}_p{i}"), F.lit(float(2 + i))) for i in range(3)]
+        pool = [F.greatest(p0, F.lit(1e-6)), F.greatest(p1 - p0, F.lit(1e-6)), F.greatest(p2 - p1, F.lit(1e-6))]
+        weight = F.col(f"{k}_n") / (F.col(f"{k}_n") + F.lit(float(EVEN)))
+        top, spread, further = _drawn([s / F.col("base") for s in _steps(F.col(f"{k}_q"))], pool, weight)
         shape = F.least(F.greatest(F.ln(further / spread) / F.ln(F.lit(2.0)), F.lit(SHAPE[0])), F.lit(SHAPE[1]))
         shape = F.when(F.abs(shape) < 1e-3, 1e-3).otherwise(shape)
-        own = F.col(f"{k}_n") >= MIN_TAIL
-        q = F.col(f"{k}_q")
-        top = F.when(own, q[0]).otherwise(p[0] * median)
-        scale = F.when(own, F.greatest(q[1] - q[0], 0.25 * spread * median)).otherwise(spread * median) * shape / (F.pow(F.lit(2.0), shape) - 1)
-        beyond = scale / shape * (F.pow(F.lit(RISK / (1 - PEAKS[k][0])), -shape) - 1)
-        cuts[f"cut_{k}"] = F.greatest(top + beyond, F.lit(LEAST) * median)
-    return both.select("code", F.coalesce("still", F.lit(1.0)).alias("still"), *[c.alias(n) for n, c in cuts.items()])
+        scale = spread * shape / (F.pow(F.lit(2.0), shape) - 1)
+        beyond = scale / shape * (F.pow(F.lit(risk / (1 - PEAKS[k][0])), -shape) - 1)
+        out += [(F.greatest(top + beyond, F.lit(LEAST) * (1 - weight)) * F.col("base")).alias(f"cut_{k}"), shape.alias(f"shape_{k}")]
+    return told.select("code", *out)
 
 
-def flagged(rows: DataFrame, columns: list[str]) -> DataFrame:
+def flagged(rows: DataFrame, columns: list[str], risk: float = RISK) -> DataFrame:
     """row_id, yr and reason (impossible, spike, stuck) of each implausible reading; one row per reading and reason."""
     ready = series(rows, columns)
-    known = salted_lookup(ready, behaviour(ready, columns), ["code"])
+    known = salted_lookup(ready, behaviour(ready, columns, risk), ["code"])
     years = np.array([int(c) for c in columns])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = _matrix(batch, columns)
             r = residuals(values, years)
-            cut = {k: batch[f"cut_{k}"].to_numpy(dtype=float, na_value=np.inf)[:, None] for k in KINDS}
+            limit = {k: batch[f"cut_{k}"].to_numpy(dtype=float, na_value=np.inf)[:, None] for k in KINDS}
             still = batch["still"].to_numpy(dtype=float, na_value=1.0)[:, None]
-            twice = r["two"] > cut["two"]
-            spike = (r["one"] > cut["one"]) | twice | (r["end"] > cut["end"])
+            twice = r["two"] > limit["two"]
+            spike = (r["one"] > limit["one"]) | twice | (r["end"] > limit["end"])
             spike[:, 1:] |= twice[:, :-1]
             # A reading is stuck if it equals the one before and lies in STUCK_RUN equal ones.
             equal = np.zeros_like(spike)

@@ -66,3 +66,31 @@ def test_repeated_rows_are_judged_alike(spark):
     bad[9] *= 50
     got = run(spark, [tuple(bad), *rows[1:], (99, *bad[1:])])
     assert got == {(0, 2011): "spike", (99, 2011): "spike"}
+
+
+def test_the_tail_decides(spark):
+    """Cutoffs follow the risk and each source's own tail; the floor decides for none that has readings enough."""
+    from panelforge.operators.spikes import EVEN, LEAST, behaviour
+    from panelforge.operators.spikes import series as ready
+
+    r = random.Random(2)
+    rows = []
+    for k in range(1200):
+        # Moves of LIGHT are even, those of HEAVY now and then ten times as large.
+        code = "HEAVY" if k % 2 else "LIGHT"
+        v, out = 100.0, []
+        for _ in range(20):
+            out.append(v)
+            v *= 1 + (r.uniform(-0.01, 0.01) if code == "LIGHT" else r.gauss(0, 0.005) * (10 if r.random() < 0.12 else 1))
+        rows.append((k, code, *out))
+    rows.append((9999, "THIN", *[100.0 * 1.01**k for k in range(20)]))
+    df = spark.createDataFrame([(*x, "clash", "clash") for x in rows], SCHEMA)
+    at = lambda risk: {x["code"]: x for x in behaviour(ready(df, YEARS), YEARS, risk).collect()}
+    usual, rarer = at(1e-5), at(1e-7)
+    for c in ("LIGHT", "HEAVY"):
+        assert rarer[c]["cut_one"] > 1.2 * usual[c]["cut_one"] > 1.2 * LEAST * EVEN / (EVEN + 3000) * usual[c]["base"]
+    assert usual["HEAVY"]["cut_one"] / usual["HEAVY"]["base"] > 1.5 * usual["LIGHT"]["cut_one"] / usual["LIGHT"]["base"]
+    assert usual["HEAVY"]["shape_end"] > usual["LIGHT"]["shape_end"]
+    assert usual["THIN"]["cut_one"] > 0
+    few, many = (len({(x["row_id"], x["yr"]) for x in flagged(df, YEARS, risk).collect()}) for risk in (1e-5, 1e-3))
+    assert many > few
