@@ -55,16 +55,23 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("dataset", F.col("_code").alias("code"), F.col("_yr").cast("int").alias("yr"), F.col("listed").alias("indicator"), "received_at", "row_id", F.col("value").alias("cell"))
 
 
+def _recipe(spark: SparkSession, d: str) -> dict[str, str]:
+    """Indicators and their types: a few rows, which name the columns of the wide table."""
+    return {r["indicator"]: r["value_type"] for r in table(spark, d, "indicators").orderBy("indicator").collect()}
+
+
+def _compacted(spark: SparkSession, d: str, columns: dict[str, str]) -> DataFrame:
+    return wide.compact([wide.deltas(_cells(spark, d), KEYS, "indicator", list(columns))], KEYS, list(columns))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    cells = wide.compact([wide.deltas(_cells(spark, d), KEYS, "indicator")], KEYS, "indicator")
-    return cells.select(*KEYS, "indicator")
+    columns = _recipe(spark, d)
+    return wide.filled(_compacted(spark, d, columns), KEYS, "indicator", list(columns))
 
 
 def p3_wide(spark: SparkSession, d: str) -> DataFrame:
-    # The list of indicators is the recipe: a few rows, which name the columns of the result.
-    columns = {r["indicator"]: r["value_type"] for r in table(spark, d, "indicators").orderBy("indicator").collect()}
-    cells = wide.compact([wide.deltas(_cells(spark, d), KEYS, "indicator")], KEYS, "indicator")
-    return wide.widen(cells, KEYS, "indicator", columns)
+    columns = _recipe(spark, d)
+    return wide.widen(_compacted(spark, d, columns), KEYS, columns)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
