@@ -1,10 +1,11 @@
 """Problem 1: records whose fields drift between files, read into one consistent table with a report of each change.
 
-Profiles of fields (types, nesting, presence) and the evidence for renames (values that a vanished and a new name hold for
-the same entity) are aggregated over all records. What is left per pair of consecutive files is a small schema graph, on
-which similarity flooding propagates match scores over names, types and nesting until they converge; consistent one-to-one
-correspondences are selected, chained over the files of a feed, and the records are cast and united under the names that a
-field bore first.
+Profiles of fields (types, nesting, presence) and the values that a vanished and a new name hold for the same entity are
+aggregated over all records. What is left per pair of consecutive files is a small schema graph of names, types and nested
+fields. Similarity flooding propagates match scores over it until they converge: every vanished field may correspond to every
+new one or to none, and the scores of "none" are flooded like all others. A field is renamed where a correspondence ends above
+both of its alternatives; correspondences are one to one. They are chained over the files of a feed, and the records are cast
+and united under the names that a field bore first.
 
 Defined results. The file before is the one with the preceding seq of the feed, whenever it was received. A record that
 isn't a JSON object has no fields. Null values have no type and no text. A field without non-null values in one of the two
@@ -14,8 +15,10 @@ passed through by `consolidate` only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,16 +27,22 @@ from panelforge.session import cut
 
 #: A value counts as the same if at most so many edits, or this share of its length, lie between the texts.
 EDITS, EDIT_SHARE = 2, 0.15
-#: Least share of entities with a value under both names that must agree for a rename.
-AGREE = 0.6
+#: What two fields that met in no entity start with, as if they had agreed in so many of one entity.
+PRIOR = 0.4
+#: How much of a start score is agreement on values; the rest is likeness of the names.
+VALUES = 0.85
+#: What a field's having no correspondence starts with.
+NONE = 0.56
+#: Start scores of two equal and two unequal types.
+SAME_TYPE, OTHER_TYPE = 1.0, 0.3
+#: How much neighbours in the graph add to a score in each round.
+SPREAD = 0.2
 #: Flooding stops when no score moves by more than this, or after so many rounds.
-SETTLED, ROUNDS = 1e-4, 100
-#: Longer texts are compared by equality only; levenshtein is quadratic.
-LONG_TEXT = 2000
+SETTLED, ROUNDS = 1e-4, 200
 
 
 def cells(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per record and field: feed, seq, import_file, record_id, keep, tab, variable, field, kind, value (text)."""
+    """One row per record and field: feed, seq, import_file, record_id, keep, tab, variable, field, kind, nested (its schema), value (text)."""
     parsed = records.withColumn("_v", F.try_parse_json("record"))
     flat = parsed.select(
         "feed", "seq", "import_file", "record_id", *keep,
@@ -48,20 +57,20 @@ def cells(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .when(shape.startswith("ARRAY"), "array").when(shape.startswith("OBJECT"), "object").otherwise("number")
     )
     text = F.when(kind.isin("array", "object"), F.to_json("value")).otherwise(F.try_variant_get("value", "$", "string"))
-    return each.select("feed", "seq", "import_file", "record_id", *keep, "tab", "variable", F.col("key").alias("field"), kind.alias("kind"), text.alias("value"))
+    return each.select("feed", "seq", "import_file", "record_id", *keep, "tab", "variable", F.col("key").alias("field"), kind.alias("kind"), F.when(kind.isin("array", "object"), shape).alias("nested"), text.alias("value"))
 
 
 def profiles(each: DataFrame) -> DataFrame:
-    """One row per file and field: its non-null types and how many records hold it."""
-    return each.groupBy("feed", "seq", "import_file", "field").agg(F.sort_array(F.collect_set("kind")).alias("kinds"), F.count("*").alias("held"))
+    """One row per file and field: its non-null types, a schema of its nested values, and how many records hold it."""
+    return each.groupBy("feed", "seq", "import_file", "field").agg(F.sort_array(F.collect_set("kind")).alias("kinds"), F.max("nested").alias("nested"), F.count("*").alias("held"))
 
 
 def presence(fields: DataFrame, files: DataFrame) -> DataFrame:
-    """Fields of each file beside those of the file before: feed, seq, import_file, field, kinds, old_kinds, status."""
+    """Fields of each file beside those of the file before: feed, seq, import_file, field, kinds, old_kinds, nested, old_nested, status."""
     order = Window.partitionBy("feed").orderBy("seq")
     index = files.select("feed", "seq", "import_file").groupBy("feed", "seq").agg(F.min("import_file").alias("import_file")).select("feed", "seq", "import_file", F.lag("seq").over(order).alias("before"))
-    now = index.where("before IS NOT NULL").join(fields.select("feed", "seq", "field", "kinds"), ["feed", "seq"])
-    then = index.where("before IS NOT NULL").join(fields.select("feed", F.col("seq").alias("before"), "field", F.col("kinds").alias("old_kinds")), ["feed", "before"])
+    now = index.where("before IS NOT NULL").join(fields.select("feed", "seq", "field", "kinds", "nested"), ["feed", "seq"])
+    then = index.where("before IS NOT NULL").join(fields.select("feed", F.col("seq").alias("before"), "field", F.col("kinds").alias("old_kinds"), F.col("nested").alias("old_nested")), ["feed", "before"])
     both = now.join(then, ["feed", "seq", "before", "import_file", "field"], "full")
     status = F.when(F.col("kinds").isNull(), "removed").when(F.col("old_kinds").isNull(), "added").otherwise("kept")
     return both.withColumn("status", status)
@@ -70,22 +79,22 @@ def presence(fields: DataFrame, files: DataFrame) -> DataFrame:
 def evidence(each: DataFrame, marks: DataFrame) -> DataFrame:
     """Per file and pair of a vanished and a new name: entities with both values, and how many of those agree.
 
-    Only fields that vanished or came meet, and only within one entity of two consecutive files.
+    Only fields that vanished or came meet, and only within one entity of two consecutive files: its last values are put
+    together into one row, which the number of fields bounds. The records are read once.
     """
-    one = each.where("value IS NOT NULL AND tab IS NOT NULL AND variable IS NOT NULL")
-    keys = ["feed", "tab", "variable"]
-    latest = lambda df, name: df.groupBy("feed", "seq", "tab", "variable", "field").agg(F.max_by("value", "record_id").alias(f"{name}_value")).withColumnRenamed("field", f"{name}_field")
-    gone = marks.where("status = 'removed'").select("feed", F.col("before"), F.col("seq").alias("at"), "field")
-    come = marks.where("status = 'added'").select("feed", "seq", "field")
-    old = latest(one.join(gone.select("feed", F.col("before").alias("seq"), "field"), ["feed", "seq", "field"], "left_semi"), "old")
-    old = old.join(gone.select("feed", F.col("before").alias("seq"), "at").distinct(), ["feed", "seq"]).drop("seq").withColumnRenamed("at", "seq")
-    new = latest(one.join(come, ["feed", "seq", "field"], "left_semi"), "new")
-    a, b = F.col("old_value"), F.col("new_value")
-    size = F.greatest(F.length(a), F.length(b))
-    near = F.when(size <= LONG_TEXT, F.levenshtein(a, b) <= F.least(F.floor(size * EDIT_SHARE) + F.when(size >= 6, 1).otherwise(0), F.lit(EDITS) + F.floor(size * EDIT_SHARE)))
-    same = (a == b) | F.coalesce(near, F.lit(False))
-    met = old.join(new, [*keys, "seq"])
-    return met.groupBy("feed", "seq", "old_field", "new_field").agg(F.count("*").alias("met"), F.sum(same.cast("long")).alias("agree"), F.countDistinct("old_value").alias("texts"))
+    entry = lambda at, role, when: F.when(when, F.struct(F.col(at).alias("file"), F.col("seq").alias("at"), F.lit(role).alias("role")))
+    asked = marks.select("feed", "field", F.coalesce(entry("before", "old", F.col("status") == "removed"), entry("seq", "new", F.col("status") == "added")).alias("_e")).where("_e IS NOT NULL")
+    asked = asked.select("feed", F.col("_e.file").alias("seq"), "field", "_e.at", "_e.role")
+    told = each.where("value IS NOT NULL AND tab IS NOT NULL AND variable IS NOT NULL").select("feed", "seq", "record_id", "tab", "variable", "field", "value").join(asked, ["feed", "seq", "field"])
+    last = told.groupBy("feed", "at", "tab", "variable", "role", "field").agg(F.max(F.struct("record_id", "value")).alias("_v"))
+    side = lambda role: F.collect_list(F.when(F.col("role") == role, F.struct("field", F.col("_v.value").alias("value"))))
+    entity = last.groupBy("feed", "at", "tab", "variable").agg(side("old").alias("old"), side("new").alias("new")).where((F.size("old") > 0) & (F.size("new") > 0))
+    met = entity.select("feed", F.col("at").alias("seq"), F.explode("old").alias("o"), "new").select("feed", "seq", "o", F.explode("new").alias("n"))
+    met = met.select("feed", "seq", F.col("o.field").alias("old_field"), F.col("n.field").alias("new_field"), F.col("o.value").alias("a"), F.col("n.value").alias("b"))
+    size = "greatest(length(a), length(b))"
+    most = f"cast(least(floor({size} * {EDIT_SHARE}) + if({size} >= 6, 1, 0), {EDITS} + floor({size} * {EDIT_SHARE})) as int)"
+    same = f"a = b OR abs(length(a) - length(b)) <= {most} AND levenshtein(a, b, {most}) >= 0"
+    return met.groupBy("feed", "seq", "old_field", "new_field").agg(F.count("*").alias("met"), F.count_if(F.expr(same)).alias("agree"))
 
 
 def _name_score(a: str, b: str) -> float:
@@ -95,82 +104,112 @@ def _name_score(a: str, b: str) -> float:
     return 2 * len(pairs[0] & pairs[1]) / total if total else float(a.lower() == b.lower())
 
 
-def flood(pairs: dict[tuple[str, str], float], kinds: dict[str, tuple], settled: float = SETTLED, rounds: int = ROUNDS) -> dict[tuple[str, str], float]:
-    """Similarity flooding over the pairwise graph of two schemas.
+def flood(start: dict, links: list[tuple], settled: float = SETTLED, rounds: int = ROUNDS) -> dict:
+    """Similarity flooding over a graph of pairs.
 
-    Nodes are pairs of an old and a new field, pairs of their types, and the pair of the two roots. Edges join a field pair
-    to the root pair (nesting) and to its type pair; each edge passes a node's score on in equal shares per label. Start
-    scores are those of `pairs`; after each round scores are divided by the largest, until none moves by more than `settled`.
+    start: the start score of each node. links: (node, node, label), passed both ways. A node passes its score on in equal
+    shares per label. In each round a node keeps its start and present scores and adds SPREAD of what reaches it; then all are
+    divided by the largest, until none moves by more than `settled`.
     """
-    start: dict[object, float] = {("f", *p): s for p, s in pairs.items()}
-    edges: dict[object, list[tuple[object, float]]] = {}
-
-    def link(x: object, y: object, label_x: int, label_y: int) -> None:
-        edges.setdefault(x, []).append((y, 1 / label_x))
-        edges.setdefault(y, []).append((x, 1 / label_y))
-
-    by_type: dict[object, int] = {}
-    types = {p: ("t", kinds.get("o:" + p[0], ()), kinds.get("n:" + p[1], ())) for p in pairs}
-    for t in types.values():
-        by_type[t] = by_type.get(t, 0) + 1
-    for p, t in types.items():
-        start.setdefault(t, 1.0 if t[1] == t[2] else 0.3)
-        start.setdefault("root", 1.0)
-        link("root", ("f", *p), len(pairs), 1)
-        link(t, ("f", *p), by_type[t], 1)
-    score = dict(start)
+    place = {n: i for i, n in enumerate(start)}
+    ends = np.array([(place[a], place[b]) for a, b, _ in links] + [(place[b], place[a]) for a, b, _ in links], dtype=int).reshape(-1, 2)
+    # Both ways of a label are counted apart: a field has one nest, a nest many fields.
+    labels = [("to", *x[::2]) for x in links] + [("from", x[1], x[2]) for x in links]
+    count: dict = {}
+    for x in labels:
+        count[x] = count.get(x, 0) + 1
+    share = np.array([1 / count[x] for x in labels])
+    first = np.array(list(start.values()))
+    score = first.copy()
     for _ in range(rounds):
-        nxt = {n: start[n] + score[n] + sum(score[m] * w for m, w in ((y, next(w for z, w in edges[y] if z == n)) for y, _ in edges[n])) for n in start}
-        top = max(nxt.values())
-        nxt = {n: s / top for n, s in nxt.items()}
-        moved = max(abs(nxt[n] - score[n]) for n in start)
-        score = nxt
+        now = first + score
+        reach = np.zeros(len(first))
+        np.add.at(reach, ends[:, 1], now[ends[:, 0]] * share)
+        new = now + SPREAD * reach / np.maximum(np.bincount(ends[:, 1], minlength=len(first)), 1)
+        new /= new.max()
+        moved, score = np.abs(new - score).max(), new
         if moved <= settled:
             break
-    return {p: score[("f", *p)] for p in pairs}
-
-
-def select(group: pd.DataFrame, agree: float = AGREE) -> list[tuple[str, str]]:
-    """The consistent correspondences (old, new) of one pair of files: the best-scored first, each field once."""
-    pairs, share = {}, {}
-    kinds: dict[str, tuple] = {}
-    for r in group.itertuples():
-        share[r.old_field, r.new_field] = r.agree / r.met
-        # Few or uniform values prove little by themselves; names then weigh more.
-        weight = r.met / (r.met + 1.0) * (1.0 if r.texts > 1 else 0.7)
-        pairs[r.old_field, r.new_field] = 0.75 * weight * r.agree / r.met + 0.25 * _name_score(r.old_field, r.new_field)
-        kinds["o:" + r.old_field], kinds["n:" + r.new_field] = tuple(r.old_kinds), tuple(r.new_kinds)
-    flooded = flood(pairs, kinds)
-    # Flooding orders; a correspondence must also hold on the values themselves.
+    return dict(zip(start, score.tolist()))
+
+
+_NESTED = re.compile(r"(\w+|`[^`]*`): (\w+)|(>)|(OBJECT<|ARRAY<)")
+
+
+def nested_fields(schema: str | None) -> frozenset[tuple[str, str]]:
+    """Path and type of each field within a nested value's schema."""
+    out, path, opened = set(), [], []
+    for m in _NESTED.finditer(schema or ""):
+        name, kind, shut, _ = m.groups()
+        if shut:
+            if opened and opened.pop():
+                path.pop()
+        elif name:
+            out.add((".".join([*path, name.strip("`")]), kind))
+            if kind in ("OBJECT", "ARRAY"):
+                path.append(name.strip("`"))
+                opened.append(True)
+        else:
+            opened.append(False)
+    return frozenset(out)
+
+
+def schema_graph(old: dict[str, tuple], new: dict[str, tuple], met: dict[tuple[str, str], tuple[int, int]]) -> tuple[dict, list]:
+    """Start scores and links of the pairs of two schemas. old, new: types and nested fields by name; met: entities, agreeing.
+
+    Nodes are pairs of fields, each field without a partner, pairs of types, pairs of nested fields, and the pair of roots.
+    """
+    start: dict = {"root": 1.0, ("type", None): (SAME_TYPE + OTHER_TYPE) / 2}
+    links: list[tuple] = []
+    for alone in [("field", o, None) for o in old] + [("field", None, n) for n in new]:
+        start[alone] = NONE
+        links += [("root", alone, "field"), (alone, ("type", None), "type")]
+    for o, (kinds, inner) in old.items():
+        for n, (other, within) in new.items():
+            pair = ("field", o, n)
+            both, agree = met.get((o, n), (0, 0))
+            start[pair] = VALUES * (agree + PRIOR) / (both + 1) + (1 - VALUES) * _name_score(o, n)
+            types = ("type", kinds, other)
+            start.setdefault(types, SAME_TYPE if kinds == other else OTHER_TYPE)
+            links += [("root", pair, "field"), (pair, types, "type")]
+            # Each nested field meets its likest partner; one that has none speaks against the pair.
+            for mine, theirs, way in ((inner, within, "old"), (within, inner, "new")):
+                for path, kind in mine:
+                    child = ("nested", o, n, way, path)
+                    start[child] = max((_name_score(path, name) * (1.0 if kind == its else 0.5) for name, its in theirs), default=0.0)
+                    links.append((pair, child, "nested"))
+    return start, links
+
+
+def select(old: dict[str, tuple], new: dict[str, tuple], met: dict[tuple[str, str], tuple[int, int]]) -> list[tuple[str, str]]:
+    """The consistent correspondences (old, new) of one pair of files: best flooded score first, each field once."""
+    score = flood(*schema_graph(old, new, met))
+    pairs = [(o, n) for o in old for n in new if score["field", o, n] > max(score["field", o, None], score["field", None, n])]
     taken: set[str] = set()
     out = []
-    for p in sorted(pairs, key=lambda p: (-flooded[p], -share[p], p)):
-        if share[p] >= agree and "o:" + p[0] not in taken and "n:" + p[1] not in taken:
-            taken |= {"o:" + p[0], "n:" + p[1]}
-            out.append(p)
+    for o, n in sorted(pairs, key=lambda p: (-round(score["field", *p], 9), p)):
+        if "o:" + o not in taken and "n:" + n not in taken:
+            taken |= {"o:" + o, "n:" + n}
+            out.append((o, n))
     return out
 
 
 def renames(each: DataFrame, marks: DataFrame) -> DataFrame:
     """feed, seq, old_field, field: the names of a file that a vanished name of the file before has taken on."""
-    seen = evidence(each, marks)
-    old = marks.where("status = 'removed'").select("feed", "seq", F.col("field").alias("old_field"), "old_kinds")
-    new = marks.where("status = 'added'").select("feed", "seq", F.col("field").alias("new_field"), F.col("kinds").alias("new_kinds"))
-    graph = seen.join(old, ["feed", "seq", "old_field"]).join(new, ["feed", "seq", "new_field"])
-
-    def matched(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in groups:
-            found = [(feed, seq, o, n) for (feed, seq), g in batch.groupby(["feed", "seq"]) for o, n in select(g)]
-            yield pd.DataFrame(found, columns=["feed", "seq", "old_field", "field"])
-
-    # One schema graph is one row, so that many graphs share an Arrow batch and none is split.
-    whole = graph.groupBy("feed", "seq").agg(F.collect_list(F.struct("old_field", "new_field", "met", "agree", "texts", "old_kinds", "new_kinds")).alias("pairs"))
+    met = evidence(each, marks).select("feed", "seq", F.struct(F.lit("met").alias("role"), F.col("old_field").alias("a"), F.col("new_field").alias("b"), F.array().cast("array<string>").alias("kinds"), F.lit(None).cast("string").alias("nested"), "met", "agree").alias("x"))
+    none = F.lit(None).cast("bigint")
+    seen = marks.where("status <> 'kept'").select("feed", "seq", F.struct(F.col("status").alias("role"), F.col("field").alias("a"), F.lit("").alias("b"), F.coalesce("kinds", "old_kinds").alias("kinds"), F.coalesce("nested", "old_nested").alias("nested"), none.alias("met"), none.alias("agree")).alias("x"))
+    # One schema graph is one row, bounded by the fields of two files.
+    whole = seen.unionByName(met).groupBy("feed", "seq").agg(F.collect_list("x").alias("xs")).where("exists(xs, x -> x.role = 'removed') AND exists(xs, x -> x.role = 'added')")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [{"feed": r.feed, "seq": r.seq, **p} for r in batch.itertuples() for p in r.pairs]
-            if rows:
-                yield from matched(iter([pd.DataFrame(rows)]))
+            found = []
+            for r in batch.itertuples():
+                side = lambda role: {x["a"]: (tuple(x["kinds"]), nested_fields(x["nested"])) for x in sorted(r.xs, key=lambda x: x["a"]) if x["role"] == role}  # noqa: B023, E731
+                met = {(x["a"], x["b"]): (x["met"], x["agree"]) for x in r.xs if x["role"] == "met"}
+                found += [(r.feed, r.seq, o, n) for o, n in select(side("removed"), side("added"), met)]
+            yield pd.DataFrame(found, columns=["feed", "seq", "old_field", "field"])
 
     return whole.mapInPandas(run, "feed string, seq int, old_field string, field string")
 
@@ -193,8 +232,8 @@ def drift(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The change report, the fields' marks and the renames of a table of records."""
     each = cells(records)
     fields = cut(profiles(each))
-    marks = presence(fields, fields)
-    moved = renames(each, marks)
+    marks = cut(presence(fields, fields))
+    moved = cut(renames(each, marks))
     return changes(each, marks, moved), marks, moved
 
 
@@ -232,8 +271,8 @@ def consolidate(records: DataFrame, columns: dict[str, str], keep: tuple[str, ..
     """
     each = cells(records, keep)
     fields = cut(profiles(each))
-    marks = presence(fields, fields)
-    names = canonical_names(fields, marks, renames(each, marks))
+    marks = cut(presence(fields, fields))
+    names = canonical_names(fields, marks, cut(renames(each, marks)))
     led = each.join(names, ["feed", "seq", "field"]).where("value IS NOT NULL")
     rows = led.groupBy("feed", "seq", "import_file", "record_id", *keep).agg(F.collect_list(F.struct("name", "value")).alias("_all"))
     once = F.map_from_entries(F.transform(F.array_distinct(F.transform("_all", lambda x: x["name"])), lambda n: F.struct(n.alias("k"), F.element_at(F.filter("_all", lambda x: x["name"] == n), 1)["value"].alias("v"))))

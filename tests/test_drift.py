@@ -70,10 +70,44 @@ def test_values_that_do_not_fit_stay_as_text(spark):
     assert got["DP"] is None and json.loads(got["other"])["DP"] == "many"
 
 
-def test_flooding_converges_and_prefers_agreeing_fields():
-    pairs = {("a", "x"): 0.9, ("a", "y"): 0.2, ("b", "x"): 0.3, ("b", "y"): 0.8}
-    kinds = {"o:a": ("string",), "o:b": ("number",), "n:x": ("string",), "n:y": ("number",)}
-    score = drift.flood(pairs, kinds)
-    assert score["a", "x"] > score["a", "y"] and score["b", "y"] > score["b", "x"]
-    longer = drift.flood(pairs, kinds, settled=1e-9, rounds=1000)
-    assert all(abs(score[p] - longer[p]) < 0.02 for p in pairs)
+NUMBER, TEXT = (("number",), frozenset()), (("string",), frozenset())
+
+
+def test_flooding_converges():
+    met = {("a", "x"): (5, 5), ("a", "y"): (5, 1), ("b", "x"): (5, 1), ("b", "y"): (5, 4)}
+    graph = drift.schema_graph({"a": TEXT, "b": NUMBER}, {"x": TEXT, "y": NUMBER}, met)
+    score, longer = drift.flood(*graph), drift.flood(*graph, settled=1e-9, rounds=5000)
+    assert all(abs(score[p] - longer[p]) < 0.02 for p in score)
+    assert score["field", "a", "x"] > score["field", "a", "y"] and score["field", "b", "y"] > score["field", "b", "x"]
+    assert drift.flood({"root": 1.0}, []) == {"root": 1.0}
+
+
+def test_only_flooding_tells_equal_values_apart(spark):
+    """All values agree both ways and the names say nothing; types reach the pairs through the graph only."""
+    old = [entity(k, Aaa=7, Bbb="7") for k in range(4)]
+    new = [entity(k, Xxx="7", Yyy=7) for k in range(4)]
+    assert report(frame(spark, [("f", 0, old), ("f", 1, new)])) == {("f-1", "Yyy", "renamed", "Aaa"), ("f-1", "Xxx", "renamed", "Bbb")}
+    met = {(o, n): (4, 4) for o in ("Aaa", "Bbb") for n in ("Xxx", "Yyy")}
+    start, links = drift.schema_graph({"Aaa": NUMBER, "Bbb": TEXT}, {"Xxx": TEXT, "Yyy": NUMBER}, met)
+    assert start["field", "Aaa", "Xxx"] == start["field", "Aaa", "Yyy"]
+    flooded = drift.flood(start, links)
+    assert flooded["field", "Aaa", "Yyy"] > flooded["field", "Aaa", "Xxx"]
+
+
+def test_nested_fields_tell_fields_without_common_entities_apart(spark):
+    old = [entity(k, Contact={"phone": f"{k}", "name": {"first": "x"}}, Gone={"width": 1}) for k in range(3)]
+    new = [entity(k + 10, Person={"phone": f"9{k}", "name": {"first": "y"}}, Fresh=[True]) for k in range(3)]
+    assert report(frame(spark, [("f", 0, old), ("f", 1, new)])) == {("f-1", "Person", "renamed", "Contact"), ("f-1", "Gone", "removed", None), ("f-1", "Fresh", "added", None)}
+    assert drift.nested_fields("OBJECT<a: OBJECT<x: DECIMAL(21,1), y: ARRAY<OBJECT<q: STRING>>>, b: BIGINT>") == {("a", "OBJECT"), ("a.x", "DECIMAL"), ("a.y", "ARRAY"), ("a.y.q", "STRING"), ("b", "BIGINT")}
+
+
+def test_agreement_is_weighed_against_none(spark):
+    half = [entity(k, Other=f"text {k}" if k % 2 else f"nothing of the kind {k}") for k in range(6)]
+    old = [entity(k, Aaa=f"text {k}") for k in range(6)]
+    assert {x[2] for x in report(frame(spark, [("f", 0, old), ("f", 1, half)]))} == {"added", "removed"}
+
+
+def test_long_texts_differ_by_edits_too(spark):
+    text = "many words of a note " * 200
+    old, new = [entity(k, Notes=f"{k} {text}") for k in range(3)], [entity(k, Remark=f"{k} {text[:-40]}changed at the end") for k in range(3)]
+    assert report(frame(spark, [("f", 0, old), ("f", 1, new)])) == {("f-1", "Remark", "renamed", "Notes")}
