@@ -11,8 +11,8 @@ CELL = ["table_name", "entity", "code", "year"]
 def change_counts(before: DataFrame, incoming: DataFrame, after: DataFrame, threshold: float = 0.5, cell: list[str] = CELL) -> DataFrame:
     """Per table: cells added, revised, removed, unchanged and backfilled, and large revisions.
 
-    Backfilled cells are those that the incoming panel holds empty, or not at all, and the result takes from before. A
-    revision is large if it is more than `threshold` of the value before, or that was zero.
+    Backfilled cells are those that the incoming panel holds empty, or not at all, though they have a value before and after,
+    also where another batch revised it. A revision is large if it is more than `threshold` of the value before, or that was zero.
     """
     side = lambda df, name: df.select(*cell, F.col("value").alias(name))
     all3 = side(before, "a").join(side(incoming, "i"), cell, "full").join(side(after, "b"), cell, "full")
@@ -21,7 +21,7 @@ def change_counts(before: DataFrame, incoming: DataFrame, after: DataFrame, thre
     large = revised & ((a == 0) | (F.abs(b - a) > threshold * F.abs(a)))
     return all3.groupBy("table_name").agg(
         F.count_if(a.isNull() & b.isNotNull()).alias("added"), F.count_if(revised).alias("revised"), F.count_if(a.isNotNull() & b.isNull()).alias("removed"),
-        F.count_if(a.isNotNull() & (a == b)).alias("unchanged"), F.count_if(i.isNull() & a.isNotNull() & (a == b)).alias("backfilled"), F.count_if(large).alias("large_revisions"),
+        F.count_if(a.isNotNull() & (a == b)).alias("unchanged"), F.count_if(i.isNull() & a.isNotNull() & b.isNotNull()).alias("backfilled"), F.count_if(large).alias("large_revisions"),
     )
 
 
@@ -80,15 +80,15 @@ def import_coverage(panel: DataFrame, by: list[str]) -> DataFrame:
 
 
 def classify_findings(findings: DataFrame) -> DataFrame:
-    """Findings of a final dataset by where the same evidence (rule and signature) also stands.
+    """Findings of a final dataset by where the same numerical evidence (rule and signature) also stands.
 
-    findings: role (base, incoming, final), rule, signature. A rule named boundary is `blending_boundary`; else base before
-    incoming before unresolved.
+    findings: role (base, incoming, final), rule, signature. Evidence in the base counts before that in an incoming dataset,
+    that before a rule's being about a boundary of blending; all else is specific to the dataset or unresolved.
     """
     roles = findings.groupBy("rule", "signature").agg(F.collect_set("role").alias("roles"))
     final = findings.where("role = 'final'").join(roles, ["rule", "signature"])
     kind = (
-        F.when(F.col("rule") == "blending_boundary_jump", "blending_boundary").when(F.array_contains("roles", "base"), "also_in_base")
-        .when(F.array_contains("roles", "incoming"), "also_in_incoming").otherwise("dataset_specific_or_unresolved")
+        F.when(F.array_contains("roles", "base"), "also_in_base").when(F.array_contains("roles", "incoming"), "also_in_incoming")
+        .when(F.col("rule") == "blending_boundary_jump", "blending_boundary").otherwise("dataset_specific_or_unresolved")
     )
     return final.select("rule", "signature", kind.alias("classification"))

@@ -65,30 +65,34 @@ def bundle_status(matches: DataFrame) -> DataFrame:
 def repair_identity(rows: DataFrame, roster: DataFrame, alias: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
     """rows (entity, code) with fixed_entity, fixed_code and decision: canonical_code, recovered_code, or an error's name.
 
-    In order: text that is null fails; a reviewed name without target fails; a reviewed target that contradicts the code or
-    the aliases fails; a name known only as another's alias fails without review even beside a valid code; several codes, or
-    one other than the given, fail; a known code gives its canonical name; an unknown code fails; one alias recovers a code.
+    In order: a reviewed name without target fails; a reviewed target fails that contradicts the code or isn't the only one
+    that the aliases allow; a name known only as another's alias fails without review even beside a valid code; several codes,
+    or one other than the given, fail; a known code, in any spelling, gives its canonical name, also to a missing or unknown
+    one; an unknown code fails; one alias recovers a missing code; all else is an unknown name. Reviews meet the trimmed name.
     """
-    by_code = roster.select(F.col("code").alias("_code"), F.col("entity").alias("_canonical"))
+    by_code = roster.select(normalized(F.col("code")).alias("_folded"), F.col("code").alias("_code"), F.lit(True).alias("_known")).dropDuplicates(["_folded"])
     by_name = alias.groupBy("alias_norm").agg(F.array_sort(F.collect_set("code")).alias("_choices"), F.max("canonical").alias("_own"))
-    keyed = rows.withColumns({"alias_norm": normalized(F.col("entity")), "_code": strip(F.col("code"))})
-    met = salted_lookup(salted_lookup(keyed, by_code, ["_code"]), by_name, ["alias_norm"])
-    met = met.join(reviewed.select(normalized(F.col("original_name")).alias("alias_norm"), F.col("matched_code").alias("_target"), F.lit(True).alias("_rev")).dropDuplicates(["alias_norm"]), "alias_norm", "left") if reviewed is not None else met.withColumns({"_target": F.lit(None).cast("string"), "_rev": F.lit(None).cast("boolean")})
-    known = F.col("_canonical").isNotNull()
+    keyed = rows.withColumns({"alias_norm": normalized(F.col("entity")), "_label": strip(F.col("entity")), "_token": F.coalesce(strip(F.col("code")), F.lit("")), "_folded": normalized(F.col("code"))})
+    met = salted_lookup(salted_lookup(keyed, by_code, ["_folded"]), by_name, ["alias_norm"])
+    if reviewed is not None:
+        met = met.join(reviewed.select(strip(F.col("original_name")).alias("_label"), F.col("matched_code").alias("_target"), F.lit(True).alias("_rev")).dropDuplicates(["_label"]), "_label", "left")
+    else:
+        met = met.withColumns({"_target": F.lit(None).cast("string"), "_rev": F.lit(None).cast("boolean")})
+    known = F.coalesce(F.col("_known"), F.lit(False)) & (F.col("_token") != "")
     match = F.when(known, F.col("_code"))
     listed = F.coalesce(F.size("_choices"), F.lit(0))
-    contradicts = (known & (F.col("_target") != match)) | ((listed > 0) & ~F.coalesce(F.array_contains("_choices", F.col("_target")), F.lit(False)))
+    told = F.coalesce(F.col("_rev"), F.lit(False))
+    contradicts = (known & (F.col("_target") != match)) | ((listed > 0) & ((listed > 1) | (F.get("_choices", F.lit(0)) != F.col("_target"))))
     choice = F.coalesce("_target", F.when(listed == 1, F.get("_choices", F.lit(0))))
-    several = F.col("_target").isNull() & (listed > 1)
+    several = ~told & (listed > 1)
     decision = (
-        F.when(F.col("entity").isNull(), "error_no_text").when(F.col("_rev") & F.col("_target").isNull(), "error_review_pending")
-        .when(F.col("_rev") & contradicts, "error_review_contradicts")
-        .when(F.col("_rev").isNull() & (listed > 0) & ~F.coalesce(F.col("_own"), F.lit(False)), "error_alias_needs_review")
+        F.when(told & F.col("_target").isNull(), "error_review_pending").when(told & F.coalesce(contradicts, F.lit(False)), "error_review_contradicts")
+        .when(~told & (listed > 0) & ~F.coalesce(F.col("_own"), F.lit(False)), "error_alias_needs_review")
         .when(several | (choice.isNotNull() & known & (choice != match)), "error_conflict")
-        .when(known, "canonical_code").when(F.col("_code").isNotNull() & (F.col("_code") != ""), "error_unknown_code")
+        .when(known, "canonical_code").when(F.col("_token") != "", "error_unknown_code")
         .when(choice.isNotNull(), "recovered_code").otherwise("error_unknown_name")
     )
-    fixed = F.when(F.col("_decision") == "canonical_code", match).when(F.col("_decision") == "recovered_code", F.col("_choice"))
-    told = met.withColumns({"_decision": decision, "_choice": choice}).withColumn("fixed_code", fixed)
-    names = roster.select(F.col("code").alias("fixed_code"), F.col("entity").alias("fixed_entity"))
-    return salted_lookup(told, names, ["fixed_code"]).withColumnRenamed("_decision", "decision").drop("alias_norm", "_code", "_canonical", "_choices", "_own", "_target", "_rev", "_choice")
+    decided = met.withColumns({"decision": decision, "_match": match, "_choice": choice})
+    fixed = F.when(F.col("decision") == "canonical_code", F.col("_match")).when(F.col("decision") == "recovered_code", F.col("_choice"))
+    out = decided.withColumn("fixed_code", fixed).drop("alias_norm", "_label", "_token", "_folded", "_code", "_known", "_choices", "_own", "_target", "_rev", "_match", "_choice")
+    return salted_lookup(out, roster.select(F.col("code").alias("fixed_code"), F.col("entity").alias("fixed_entity")), ["fixed_code"])

@@ -58,17 +58,15 @@ def densify(long: DataFrame, table: list[str], keys: list[str]) -> DataFrame:
     return grid.join(long.select(*table, *keys, "year", "value"), [*table, *keys, "year"], "left")
 
 
-#: A roster of more entities than this isn't laid out beside every table.
-MOST_ENTITIES = 100_000
+#: Blocks of the roster that tables meet one by one.
+BLOCKS = 16
 
 
 def _expected(long: DataFrame, roster: DataFrame, table: list[str]) -> DataFrame:
-    """Every roster entry for every table, from one checked row that holds the roster."""
-    if roster.limit(MOST_ENTITIES + 1).count() > MOST_ENTITIES:
-        raise ValueError(f"The roster has more than {MOST_ENTITIES} entities")
-    whole = roster.agg(F.collect_list(F.struct("entity", "code")).alias("_all"))
-    each = long.select(*table).distinct().join(F.broadcast(whole), how="cross").select(*table, F.explode("_all").alias("_r"))
-    return each.select(*table, "_r.entity", "_r.code")
+    """Every roster entry for every table, which is what is asked for: each table meets each block of the roster."""
+    parts = roster.select("entity", "code", F.pmod(F.xxhash64("code"), F.lit(BLOCKS)).cast("int").alias("_block"))
+    each = long.select(*table).distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
+    return each.join(parts, "_block").select(*table, "entity", "code")
 
 
 def absent_entities(long: DataFrame, roster: DataFrame, table: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import is_blank
+from panelforge.operators import identity
 
 
 def _all_blank(df: DataFrame, columns: list[str]) -> Column:
@@ -23,18 +24,21 @@ def without_empty_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(~_all_blank(df, columns))
 
 
-def surplus_rows(rows: DataFrame, roster: DataFrame, table: list[str]) -> DataFrame:
-    """Rows beyond a complete roster: unlabelled, or with a code and a name that the roster doesn't know.
+def surplus_rows(rows: DataFrame, roster: DataFrame, alias: DataFrame, table: list[str], values: list[str] | None = None, reviewed: DataFrame | None = None) -> DataFrame:
+    """Rows beyond a complete roster: their identity can't be told, and neither their code nor their name is known at all.
 
-    Only tables that hold each roster entity exactly once have surplus rows; a row with a recognizable name or code is none.
+    Only tables whose rows resolve to each roster entity exactly once have surplus rows; a row with a known name, alias,
+    reviewed name or code never is one, it is a conflict for review. Rows that are empty but for the table are left out.
+    `values` names the other columns by which a row may be non-empty (default: all but the table's).
     """
-    size = roster.agg(F.count("*").alias("_size"))
-    by_code = roster.select("code", F.lit(True).alias("_code"))
-    by_name = roster.select(F.lower("entity").alias("_norm"), F.lit(True).alias("_name")).dropDuplicates(["_norm"])
-    keyed = rows.withColumn("_norm", F.lower("entity")).join(by_code, "code", "left").join(by_name, "_norm", "left")
-    per = keyed.where("_code").groupBy(*table, "code").agg(F.count("*").alias("_n"))
-    complete = per.groupBy(*table).agg(F.count("*").alias("_have"), F.max("_n").alias("_most")).join(F.broadcast(size), how="cross").where("_have = _size AND _most = 1").select(*table)
-    return keyed.where("_code IS NULL AND _name IS NULL").join(complete, table, "left_semi").drop("_norm", "_code", "_name")
+    body = without_empty_rows(rows, values if values is not None else [c for c in rows.columns if c not in table])
+    told = identity.repair_identity(body, roster, alias, reviewed)
+    present = told.where("fixed_code IS NOT NULL").groupBy(*table, "fixed_code").agg(F.count("*").alias("_n"))
+    size = roster.agg(F.countDistinct("code").alias("_size"))
+    complete = present.groupBy(*table).agg(F.count("*").alias("_have"), F.max("_n").alias("_most")).join(F.broadcast(size), how="cross").where("_have = _size AND _most = 1").select(*table)
+    unknown = told.where("decision IN ('error_unknown_code', 'error_unknown_name')").withColumn("_alias", identity.normalized(F.col("entity")))
+    unknown = unknown.join(alias.select(F.col("alias_norm").alias("_alias")).distinct(), "_alias", "left_anti").drop("_alias")
+    return unknown.join(complete, table, "left_semi").select(*rows.columns)
 
 
 def endpoint_mismatches(wide: DataFrame, keys: list[str], years: list[str]) -> DataFrame:
@@ -59,5 +63,10 @@ def audit_text(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 
 def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of one side that the other hasn't, with the side; empty if both hold the same rows equally often."""
-    return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+    """Rows of one side that the other hasn't, with the side, as often as they are more; empty if both hold the same rows.
+
+    Both sides are counted in one aggregation, combined before its shuffle.
+    """
+    counted = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1))).groupBy(*[F.col(f"`{c}`") for c in a.columns]).agg(F.sum("_n").alias("_n"))
+    more = counted.where("_n <> 0").withColumn("side", F.when(F.col("_n") > 0, "left").otherwise("right"))
+    return more.withColumn("_k", F.explode(F.sequence(F.lit(1), F.abs("_n")))).drop("_n", "_k")

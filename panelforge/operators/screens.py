@@ -97,7 +97,7 @@ def out_of_bounds(panel: DataFrame, least: float | None, most: float | None) ->
 def flat_runs(panel: DataFrame, rules: Rules = Rules(), by: list[str] = SERIES) -> DataFrame:
     """One row per run of equal values at the table's frequency, at the observation where it reaches the length."""
     order = Window.partitionBy(*by).orderBy("year")
-    step = panel.where("value IS NOT NULL").withColumn("_new", F.coalesce(((F.col("value") != F.lag("value").over(order)) | (F.col("year") - F.lag("year").over(order) > rules.freq)).cast("int"), F.lit(1)))
+    step = panel.where("value IS NOT NULL").withColumn("_new", F.coalesce(((F.col("value") != F.lag("value").over(order)) | (F.col("year") - F.lag("year").over(order) != rules.freq)).cast("int"), F.lit(1)))
     island = step.withColumn("_run", F.sum("_new").over(order))
     at = island.withColumn("_k", F.row_number().over(Window.partitionBy(*by, "_run").orderBy("year")))
     return at.where(F.col("_k") == rules.flat_run).select(*by, F.col("year").alias("reached"), "value")
@@ -152,8 +152,11 @@ def _paired(panel: DataFrame, by: list[str], keys: list[str], freq: int) -> Data
     return left.join(right, [*by, "year", "next_year", *keys], "full")
 
 
+METRICS = ("total", "mean", "median")
+
+
 def matched_stats(panel: DataFrame, rules: Rules = Rules(), by: list[str] = ["batch", "table_name"], keys: list[str] = ["entity", "code"]) -> DataFrame:
-    """Totals and means of the entities that both of two adjacent years hold, and whether their total jumps."""
+    """Totals and medians of the entities that both of two adjacent years hold, and whether their total jumps; for additive tables."""
     both = _paired(panel, by, keys, rules.freq).where("a IS NOT NULL AND b IS NOT NULL")
     got = both.groupBy(*by, "year", "next_year").agg(F.count("*").alias("members"), F.sum("a").alias("total_before"), F.sum("b").alias("total_after"), F.median("a").alias("median_before"), F.median("b").alias("median_after"))
     delta = F.col("total_after") - F.col("total_before")
@@ -161,6 +164,32 @@ def matched_stats(panel: DataFrame, rules: Rules = Rules(), by: list[str] = ["ba
     return got.withColumns({"relative": relative, "aggregate_jump": is_large(delta, relative, rules)})
 
 
+def cohort_changes(panel: DataFrame, additive: bool, rules: Rules = Rules(), by: list[str] = ["batch", "table_name"], keys: list[str] = ["entity", "code"]) -> DataFrame:
+    """Changes of total, mean and median between adjacent years, in the available and in the matched cohort.
+
+    available: the entities that each year holds; matched: those that both hold, whose large changes are `aggregate_jump`.
+    Totals exist only where additivity is declared; what isn't finite is null.
+    """
+    both = _paired(panel, by, keys, rules.freq)
+    a, b = F.col("a"), F.col("b")
+    inside = a.isNotNull() & b.isNotNull()
+
+    def of(v: Column) -> list[Column]:
+        total = F.sum(v) if additive else F.lit(None).cast("double")
+        return [F.count(v), total, F.avg(v), F.median(v)]
+
+    cohorts = {"available": (a, b), "matched": (F.when(inside, a), F.when(inside, b))}
+    named = [c.alias(f"{name}_{side}_{stat}") for name, pair in cohorts.items() for side, v in zip(("before", "after"), pair) for stat, c in zip(("n", *METRICS), of(v))]
+    got = both.groupBy(*by, "year", "next_year").agg(*named)
+    finite = lambda c: F.when(F.abs(c) < F.lit(float("inf")), c)
+    entry = lambda name, m: F.struct(F.lit(name).alias("cohort"), F.lit(m).alias("metric"), F.col(f"{name}_before_n").alias("members_before"), F.col(f"{name}_after_n").alias("members_after"), finite(F.col(f"{name}_before_{m}")).alias("before"), finite(F.col(f"{name}_after_{m}")).alias("after"))
+    flat = got.select(*by, "year", "next_year", F.explode(F.array(*[entry(name, m) for name in cohorts for m in METRICS])).alias("_e")).select(*by, "year", "next_year", "_e.*")
+    delta = F.col("after") - F.col("before")
+    relative = F.when(F.abs("before") >= rules.near_zero, F.try_divide(delta, F.abs("before")))
+    jump = (F.col("cohort") == "matched") & F.coalesce(is_large(delta, relative, rules), F.lit(False)) & delta.isNotNull()
+    return flat.withColumns({"delta": delta, "relative": relative, "aggregate_jump": jump})
+
+
 def membership(panel: DataFrame, rules: Rules = Rules(), by: list[str] = ["batch", "table_name"], keys: list[str] = ["entity", "code"]) -> DataFrame:
     """Entities that stay, enter and leave between adjacent years."""
     both = _paired(panel, by, keys, rules.freq)
@@ -184,16 +213,18 @@ def close(a: Column, b: Column, rel: float = 1e-9, abs_tol: float = 1e-12) -> Co
     return F.abs(a - b) <= F.greatest(rel * F.greatest(F.abs(a), F.abs(b)), F.lit(abs_tol))
 
 
-def year_shifts(base: DataFrame, incoming: DataFrame, rules: Rules = Rules(), by: list[str] = ["table_name", "entity", "code"]) -> DataFrame:
-    """Series whose incoming values are the base's of a neighbouring year: offset, compared, shifted and same cells."""
-    usable = base.where("value IS NOT NULL")
-    varied = usable.groupBy(*by).agg(F.countDistinct("value").alias("_d")).where("_d >= 3").select(*by)
-    old = usable.join(varied, by, "left_semi")
-    new = incoming.where("value IS NOT NULL").select(*by, "year", F.col("value").alias("v")).withColumn("offset", F.explode(F.array(F.lit(-rules.freq), F.lit(rules.freq))))
-    there = new.join(old.select(*by, F.col("year").alias("_y"), F.col("value").alias("w")), by).where(F.col("_y") == F.col("year") + F.col("offset"))
-    same = old.select(*by, "year", F.col("value").alias("s"))
-    got = there.join(same, [*by, "year"], "left").groupBy(*by, "offset").agg(
-        F.count("*").alias("compared"), F.count_if(close(F.col("v"), F.col("w"))).alias("shifted"), F.count_if(F.coalesce(close(F.col("v"), F.col("s")), F.lit(False))).alias("same"))
+def year_shifts(base: DataFrame, incoming: DataFrame, rules: Rules = Rules(), by: list[str] = ["table_name"], keys: list[str] = ["entity", "code"]) -> DataFrame:
+    """Tables whose incoming values are the base's of the year `offset` earlier: offset, compared, shifted and same cells.
+
+    Summed over all entities that both sides hold and whose base has three different values or more. A cell is compared where
+    the base has a value in its own year and in the shifted one.
+    """
+    old = base.where("value IS NOT NULL").select(*by, *keys, "year", F.col("value").alias("s"))
+    varied = old.groupBy(*by, *keys).agg(F.countDistinct("s").alias("_d")).where("_d >= 3").select(*by, *keys)
+    here = incoming.where("value IS NOT NULL").select(*by, *keys, "year", F.col("value").alias("v")).join(varied, [*by, *keys], "left_semi").join(old, [*by, *keys, "year"])
+    asked = here.withColumn("offset", F.explode(F.array(F.lit(-rules.freq), F.lit(rules.freq)))).withColumn("_y", F.col("year") - F.col("offset"))
+    both = asked.join(old.select(*by, *keys, F.col("year").alias("_y"), F.col("s").alias("w")), [*by, *keys, "_y"])
+    got = both.groupBy(*by, "offset").agg(F.count("*").alias("compared"), F.count_if(close(F.col("v"), F.col("w"))).alias("shifted"), F.count_if(close(F.col("v"), F.col("s"))).alias("same"))
     return got.where((F.col("compared") >= 5) & (F.col("shifted") / F.col("compared") >= 0.8) & ((F.col("shifted") - F.col("same")) / F.col("compared") >= 0.3))
 
 
@@ -240,7 +271,8 @@ def sum_rule(panel: DataFrame, total: str, parts: list[str], keys: list[str], re
     """Cells of the total table checked against the sum of its parts: checked, inconsistent, or skipped where any is null."""
     named = panel.where(F.col("table_name").isin(total, *parts))
     pick = lambda t: F.max(F.when(F.col("table_name") == t, F.col("value")))
-    got = named.groupBy(*keys, "year").agg(pick(total).alias("total"), *[pick(p).alias(f"_{i}") for i, p in enumerate(parts)])
+    # Cells that the total table doesn't have aren't checked.
+    got = named.groupBy(*keys, "year").agg(F.max(F.col("table_name") == total).alias("_there"), pick(total).alias("total"), *[pick(p).alias(f"_{i}") for i, p in enumerate(parts)]).where("_there")
     added = sum((F.col(f"_{i}") for i in range(len(parts))), F.lit(0.0))
     state = F.when(F.col("total").isNull() | added.isNull(), "skipped").when(close(F.col("total"), added, rel, abs_tol), "consistent").otherwise("inconsistent")
     return got.select(*keys, "year", "total", added.alias("sum_of_parts"), state.alias("status"))
@@ -251,3 +283,30 @@ def boundary_jumps(merged: DataFrame, rules: Rules = Rules(), by: list[str] = ["
     order = Window.partitionBy(*by).orderBy("year")
     origin = merged.where("value IS NOT NULL").withColumn("from_origin", F.lag("origin").over(order)).select(*by, F.col("year").alias("to_year"), "from_origin", "origin")
     return temporal_jumps(transitions(merged, rules, by), rules).join(origin, [*by, "to_year"]).where("from_origin <> origin").select(*by, "from_year", "to_year", "before", "after", "from_origin", "origin")
+
+
+def empty_findings(panel: DataFrame, by: list[str] = ["batch", "table_name"], keys: list[str] = ["entity", "code"]) -> DataFrame:
+    """Entities and years of a table without any observation: rule (all_null_country, all_null_year), table, entity, code and year."""
+    none = F.count("value") == 0
+    who = panel.groupBy(*by, *keys).agg(none.alias("_none")).where("_none").select(F.lit("all_null_country").alias("rule"), *by, *keys, F.lit(None).cast("int").alias("year"))
+    empty = [F.lit(None).cast("string").alias(k) for k in keys]
+    when = panel.groupBy(*by, "year").agg(none.alias("_none")).where("_none").select(F.lit("all_null_year").alias("rule"), *by, *empty, "year")
+    return who.unionByName(when)
+
+
+def lost_findings(base: DataFrame, incoming: DataFrame, by: list[str] = ["table_name"], keys: list[str] = ["entity", "code"]) -> DataFrame:
+    """What an incoming panel lacks or brings anew: new_table, historical_years_absent (base years without a column), and
+    lost_observation (cells of entities and years that the incoming table has, but empty)."""
+    tables = incoming.select(*by).distinct()
+    old = base.select(*by).distinct()
+    blank = [F.lit(None).cast("string").alias(k) for k in keys]
+    fresh = tables.join(old, by, "left_anti").select(F.lit("new_table").alias("rule"), *by, *blank, F.lit(None).cast("int").alias("year"))
+    years = base.select(*by, "year").distinct().join(tables, by, "left_semi").join(incoming.select(*by, "year").distinct(), [*by, "year"], "left_anti")
+    absent = years.select(F.lit("historical_years_absent").alias("rule"), *by, *blank, "year")
+    held = base.where("value IS NOT NULL").select(*by, *keys, "year").join(incoming.where("value IS NULL").select(*by, *keys, "year"), [*by, *keys, "year"], "left_semi")
+    return fresh.unionByName(absent).unionByName(held.select(F.lit("lost_observation").alias("rule"), *by, *keys, "year"))
+
+
+def sum_coverage(checked: DataFrame) -> DataFrame:
+    """How many cells a sum rule checked, found inconsistent and skipped."""
+    return checked.agg(F.count_if(F.col("status") != "skipped").alias("checked"), F.count_if(F.col("status") == "inconsistent").alias("inconsistent"), F.count_if(F.col("status") == "skipped").alias("skipped"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.functions.columns import salted_lookup
 from panelforge.operators import compare, merge, panel, screens
 from panelforge.operators.screens import Rules
 
@@ -24,38 +25,73 @@ class Delivery:
     mismatches: DataFrame
 
 
-#: Most names that a gate or an order takes to the driver; more are an error.
-MOST_NAMES = 10_000
+def ordered(batches: DataFrame, order: list[str]) -> DataFrame:
+    """Batches with seq by the given order; the base is 0. The order must name every batch once, however many there are."""
+    if len(order) != len(set(order)):
+        raise ValueError("the order names a batch twice")
+    places = batches.sparkSession.createDataFrame([("base", 0), *[(b, i + 1) for i, b in enumerate(order)]], "batch string, seq long")
+    named = batches.select("batch").distinct()
+    odd = named.join(places, "batch", "left_anti").unionByName(places.where("seq > 0").select("batch").join(named, "batch", "left_anti")).limit(5).collect()
+    if odd:
+        raise ValueError(f"the order must name each batch once; it differs in {sorted(str(r[0]) for r in odd)}")
+    return salted_lookup(batches.drop("seq"), places, ["batch"])
 
 
-def names_of(df: DataFrame, column: str) -> set[str]:
-    """The distinct values of a column, or an error if there are more than MOST_NAMES."""
-    found = {r[column] for r in df.select(column).distinct().limit(MOST_NAMES + 1).collect()}
-    if len(found) > MOST_NAMES:
-        raise ValueError(f"more than {MOST_NAMES} values of {column}")
-    return found
+#: Findings that no decision waives, and those that need none. All others are for review.
+ERRORS = ("repeated_cell", "blank_or_untrimmed_key", "repeated_key", "name_with_several_codes", "code_with_several_names", "no_valid_series")
+INFOS = ("all_null_year", "sum_rule_coverage", "missing_by_class")
 
 
-def ordered(batches: DataFrame, order: list[str]) -> DataFrame:
-    """Batches with seq by the given order; the base is 0. The order must name every batch once."""
-    named = names_of(batches, "batch") - {"base"}
-    if set(order) != named or len(order) != len(set(order)):
-        raise ValueError(f"the order must name each of {sorted(named)} once")
-    pairs = F.create_map(*[F.lit(x) for kv in {"base": 0, **{b: i + 1 for i, b in enumerate(order)}}.items() for x in kv])
-    return batches.withColumn("seq", F.try_element_at(pairs, F.col("batch")))
+def severity(rule: Column) -> Column:
+    return F.when(rule.isin(*ERRORS), "error").when(rule.isin(*INFOS), "info").otherwise("review")
 
 
-def findings_of(rows: DataFrame, rules: Rules = Rules(), least: float | None = None, most: float | None = None) -> DataFrame:
-    """Findings of every screen on the series of all batches: rule, batch, table_name, code, year, a stable id."""
-    moves = screens.transitions(rows, rules)
-    name = lambda df, rule, year: df.select(F.lit(rule).alias("rule"), "batch", "table_name", "code", F.col(year).alias("year"))
-    parts = [
-        name(screens.interval_gaps(moves), "interval_gap", "to_year"), name(screens.temporal_jumps(moves, rules), "temporal_jump", "to_year"), name(screens.sign_changes(moves), "sign_change", "to_year"),
-        name(screens.spike_reversals(moves, rules), "spike_reversal", "year"), name(screens.flat_runs(rows, rules), "flat_run", "reached"), name(screens.unusual_movements(moves, rules).where("flagged"), "unusual_country_movement", "to_year"),
-        screens.out_of_bounds(rows, least, most).select("rule", "batch", "table_name", "code", "year"),
-    ]
+def _finding(df: DataFrame, rule: str | None, year: str | None) -> DataFrame:
+    """Rows as findings; their other columns, numbers above all, are the evidence, which names no batch."""
+    kept = [c for c in df.columns if c not in ("batch", "rule", "role")]
+    told = df.select(F.lit(rule).alias("rule") if rule else F.col("rule"), "batch", "table_name", F.col("code") if "code" in df.columns else F.lit(None).cast("string").alias("code"),
+                     F.col(year).cast("int").alias("year") if year else F.lit(None).cast("int").alias("year"), F.to_json(F.struct(*kept)).alias("evidence"))
+    return told
+
+
+def _identified(parts: list[DataFrame]) -> DataFrame:
     every = reduce(DataFrame.unionByName, parts)
-    return every.withColumn("id", F.substring(F.sha2(F.to_json(F.struct("rule", "batch", "table_name", "code", "year")), 256), 1, 16)).dropDuplicates(["id"])
+    key = F.to_json(F.struct("rule", "batch", "table_name", "code", "year", "evidence"))
+    return every.withColumns({"severity": severity(F.col("rule")), "id": F.substring(F.sha2(key, 256), 1, 16)}).dropDuplicates(["id"])
+
+
+def findings_of(rows: DataFrame, rules: Rules = Rules(), least: float | None = None, most: float | None = None, additive: bool = True) -> DataFrame:
+    """Findings of every screen on the series of all batches: rule, severity, batch, table_name, code, year, evidence, a stable id."""
+    moves = screens.transitions(rows, rules)
+    return _identified([
+        _finding(screens.interval_gaps(moves), "interval_gap", "to_year"), _finding(screens.internal_gaps(moves, rules), "internal_gap", "to_year"),
+        _finding(screens.temporal_jumps(moves, rules), "temporal_jump", "to_year"), _finding(screens.sign_changes(moves), "sign_change", "to_year"),
+        _finding(screens.spike_reversals(moves, rules), "spike_reversal", "year"), _finding(screens.flat_runs(rows, rules), "flat_run", "reached"),
+        _finding(screens.unusual_movements(moves, rules).where("flagged"), "unusual_country_movement", "to_year"),
+        _finding(screens.out_of_bounds(rows, least, most).drop("seq"), None, "year"), _finding(screens.empty_findings(rows), None, "year"),
+        _finding(screens.cohort_changes(rows, additive, rules).where("aggregate_jump"), "aggregate_jump", "next_year"),
+    ])
+
+
+def comparison_findings(base: DataFrame, incoming: DataFrame, final: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Findings from holding panels against each other, final with origin: large revisions, cells that are missing, lost or new,
+    scales, shifts, misplaced and exchanged entities, and jumps where origins meet."""
+    cell = ["table_name", "entity", "code", "year"]
+    both = compare.outcomes(base, incoming)
+    delta = F.col("after") - F.col("before")
+    revised = both.where("outcome = 'revised'").withColumns({"delta": delta, "relative": F.when(F.abs("before") >= rules.near_zero, F.try_divide(delta, F.abs("before")))})
+    large = revised.where(screens.is_large(F.col("delta"), F.col("relative"), rules))
+    named = lambda df, batch: df.withColumn("batch", F.lit(batch))
+    swapped = screens.swaps(base, incoming, rules).withColumn("code", F.concat_ws(" <> ", "a", "b"))
+    return _identified([
+        _finding(named(large, "incoming"), "large_revision", "year"), _finding(named(both.where("outcome = 'incoming_missing'").select(*cell, "before"), "incoming"), "incoming_missing", "year"),
+        _finding(named(screens.lost_findings(base, incoming), "incoming"), None, "year"),
+        _finding(named(screens.scale_shares(base, incoming, rules).where("possible_scale_change"), "incoming"), "possible_scale_change", None),
+        _finding(named(screens.year_shifts(base, incoming, rules), "incoming"), "possible_year_shift", None),
+        _finding(named(screens.misplaced(base, incoming), "incoming"), "possible_country_misplacement", None),
+        _finding(named(swapped, "incoming"), "possible_country_swap", None),
+        _finding(named(screens.boundary_jumps(final, rules), "final"), "blending_boundary_jump", "to_year"),
+    ])
 
 
 def deliver(batches: DataFrame, rules: Rules = Rules()) -> Delivery:
@@ -68,40 +104,70 @@ def deliver(batches: DataFrame, rules: Rules = Rules()) -> Delivery:
     return Delivery(merged, merge.events(good), skipped, merge.batch_counts(good), findings_of(good, rules), merge.unequal(merge.replay(good), merged))
 
 
-def quality(base: DataFrame, incoming: DataFrame, final: DataFrame, rules: Rules = Rules()) -> dict[str, DataFrame]:
-    """The evidence collections of a quality run, as tables: coverage, aggregates, comparisons, scales, swaps, findings, checks."""
+def quality(base: DataFrame, incoming: DataFrame, final: DataFrame, rules: Rules = Rules(), additive: bool = False) -> dict[str, DataFrame]:
+    """The evidence collections of a quality run, as tables: summary, coverage, aggregates, comparisons, scales, swaps, checks,
+    findings, observations. final may hold the origin of its cells; totals are told of tables declared additive only."""
     role = lambda df, r: df.select("table_name", "entity", "code", "year", "value").withColumns({"batch": F.lit(r), "role": F.lit(r)})
     every = role(base, "base").unionByName(role(incoming, "incoming")).unionByName(role(final, "final"))
-    found = findings_of(every, rules)
-    signature = F.sha2(F.to_json(F.struct("table_name", "code", "year")), 256)
+    origin = final if "origin" in final.columns else final.withColumn("origin", F.lit(None).cast("string"))
+    found = findings_of(every.drop("role"), rules, additive=additive).unionByName(comparison_findings(base, incoming, origin, rules))
+    classified = compare.classify_findings(found.select(F.col("batch").alias("role"), "rule", F.col("evidence").alias("signature")))
     scales = screens.scale_shares(base, incoming, rules)
+    moves = screens.transitions(every.drop("role"), rules)
+    history = screens.unusual_movements(moves, rules).groupBy("batch", "table_name", "code").agg(F.count("*").alias("evaluated"))
+    status = F.when(F.col("evaluated") > 0, "calculated").otherwise("insufficient_evidence")
+    told = every.select("batch", "table_name", "code").distinct().join(history, ["batch", "table_name", "code"], "left").select("table_name", F.concat_ws(":", F.lit("historical_variability"), "batch", "code").alias("rule"), F.coalesce("evaluated", F.lit(0)).alias("evaluated"))
+    checks = told.withColumn("status", status).unionByName(scales.select("table_name", F.concat(F.lit("scale:"), F.col("factor").cast("string")).alias("rule"), F.col("eligible").alias("evaluated"), "status"))
     return {
+        "summary": every.groupBy("role", "table_name").agg(F.countDistinct("code").alias("entities"), F.count("value").alias("cells"), F.min("year").alias("first_year"), F.max("year").alias("last_year")),
         "coverage": compare.coverage(every, ["role", "table_name"]),
-        "aggregates": screens.matched_stats(every.drop("role"), rules),
-        "available": screens.available_stats(every, ["role", "table_name"]),
         "membership": screens.membership(every.drop("role"), rules),
+        "aggregates": screens.cohort_changes(every.drop("role"), additive, rules),
+        "available": screens.available_stats(every, ["role", "table_name"]),
         "comparisons": compare.outcomes(base, incoming),
         "scales": scales,
         "swaps": screens.swaps(base, incoming, rules),
+        "checks": checks,
         "findings": found,
-        "classified": compare.classify_findings(found.select(F.col("batch").alias("role"), "rule", signature.alias("signature"))),
-        "checks": scales.groupBy("status").agg(F.count("*").alias("checks")),
-        "summary": every.groupBy("role", "table_name").agg(F.countDistinct("code").alias("entities"), F.count("value").alias("cells"), F.min("year").alias("first_year"), F.max("year").alias("last_year")),
+        "classified": classified,
+        "observations": every.drop("batch"),
     }
 
 
-def gate(findings: DataFrame, decisions: dict[str, str]) -> list[str]:
-    """Tables with findings for which no decision (accept or hold, with a reason after a colon) was made; empty opens the gate."""
-    tables = names_of(findings, "table_name")
-    fine = {t for t, d in decisions.items() if d.split(":", 1)[0] in ("accept", "hold") and len(d.split(":", 1)) == 2 and d.split(":", 1)[1].strip()}
-    return sorted(t for t in tables if t not in fine)
-
-
-def report(delivery: Delivery, base: DataFrame, title: str, most: int = 40) -> str:
-    """A short Markdown report: changes per batch, counts of findings and the first of them."""
-    changes = compare.change_counts(base, delivery.merged, delivery.merged).orderBy("table_name").limit(most).collect()
-    counts = delivery.findings.groupBy("rule").agg(F.count("*").alias("n")).orderBy("rule").collect()
-    first = delivery.findings.orderBy("rule", "batch", "table_name", "code", "year").limit(most).collect()
-    lines = [f"# {title}", "", "| table | added | revised | removed |", "|-|-|-|-|", *[f"| {r['table_name']} | {r['added']} | {r['revised']} | {r['removed']} |" for r in changes], "", "| rule | findings |", "|-|-|", *[f"| {r['rule']} | {r['n']} |" for r in counts], ""]
-    lines += [f"- {r['rule']}: {r['batch']} {r['table_name']} {r['code']} {r['year']}" for r in first]
+#: What may be decided about a table. `hold` keeps the gate shut.
+ACTIONS = ("prefer_new_non_null", "replace", "keep_old", "hold")
+
+
+def gate(findings: DataFrame, decisions: DataFrame, accepted: DataFrame) -> DataFrame:
+    """What keeps a release shut, as table_name, id and why; no row opens it. Nothing is taken to the driver.
+
+    findings: id, severity, table_name. decisions: table_name, action, reason. accepted: id of review findings that were
+    accepted. An error can't be waived; a review finding must be accepted; a table with findings needs one decision with an
+    action, a reason, and not to be held; what is accepted must be a review finding.
+    """
+    one = findings.select("id", "severity", "table_name").distinct()
+    taken = accepted.select("id").distinct()
+    blank = F.lit(None).cast("string")
+    errors = one.where("severity = 'error'").select("table_name", "id", F.lit("error").alias("why"))
+    review = one.where("severity = 'review'")
+    open_ = review.join(taken, "id", "left_anti").select("table_name", "id", F.lit("review finding not accepted").alias("why"))
+    unknown = taken.join(review.select("id"), "id", "left_anti").select(blank.alias("table_name"), "id", F.lit("accepted, but no review finding").alias("why"))
+    fine = F.col("action").isin(*ACTIONS) & (F.trim(F.coalesce("reason", F.lit(""))) != "")
+    made = decisions.groupBy("table_name").agg(F.count("*").alias("n"), F.count_if(fine).alias("fine"), F.count_if(F.col("action") == "hold").alias("held"))
+    asked = one.select("table_name").where("table_name IS NOT NULL").distinct().join(made, "table_name", "full")
+    why = F.when(F.col("n").isNull(), "no decision").when(F.col("n") > 1, "several decisions").when(F.col("held") > 0, "held").when(F.col("fine") < 1, "no action or reason")
+    undecided = asked.select("table_name", blank.alias("id"), why.alias("why")).where("why IS NOT NULL")
+    return errors.unionByName(open_).unionByName(unknown).unionByName(undecided)
+
+
+def report(delivery: Delivery, base: DataFrame, incoming: DataFrame, title: str, first: int = 40) -> str:
+    """A short Markdown report: changes per table, counts by severity and rule, and the first findings that need attention.
+
+    Tables are as many rows as the delivery has tables; only the list of findings, which is the report's feature, is cut.
+    """
+    changes = compare.change_counts(base, incoming, delivery.merged).orderBy("table_name").toLocalIterator()
+    counts = delivery.findings.groupBy("severity", "rule").agg(F.count("*").alias("n")).orderBy("severity", "rule").collect()
+    shown = delivery.findings.where("severity <> 'info'").orderBy("rule", "batch", "table_name", "code", "year").limit(first).collect()
+    lines = [f"# {title}", "", "| table | added | revised | removed |", "|-|-|-|-|", *[f"| {r['table_name']} | {r['added']} | {r['revised']} | {r['removed']} |" for r in changes], "", "| severity | rule | findings |", "|-|-|-|", *[f"| {r['severity']} | {r['rule']} | {r['n']} |" for r in counts], ""]
+    lines += [f"- [{r['severity']}] {r['rule']}: {r['batch']} {r['table_name']} {r['code']} {r['year']}" for r in shown]
     return "\n".join(lines) + "\n"

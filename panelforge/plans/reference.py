@@ -65,11 +65,15 @@ def merge_discard(spark: SparkSession, d: str) -> DataFrame:
     return merge.discard(batches(spark, d), ["A"])
 
 
-@query("SELECT CAST(0 AS BIGINT) AS unequal_cells")
+@query(f"""WITH {SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY table_name, entity, code, year ORDER BY CASE WHEN value IS NULL THEN 1 ELSE 0 END, seq DESC) AS n FROM batches),
+r AS (SELECT table_name, entity, code, year, value, CASE WHEN value IS NULL THEN 'base' ELSE batch END AS origin FROM k WHERE n = 1)
+SELECT count(*) AS cells, count(*) FILTER (WHERE m.value IS DISTINCT FROM r.value OR m.origin IS DISTINCT FROM r.origin) AS unequal_cells FROM merged m FULL JOIN r USING (table_name, entity, code, year)""")
 def merge_verified(spark: SparkSession, d: str) -> DataFrame:
-    """Cells in which two formulations of the merge differ: none."""
+    """Cells of the merge, and those in which two formulations of it differ."""
     b = batches(spark, d)
-    return merge.unequal(merge.consolidate(b), merge.replay(b)).agg(F.count("*").alias("unequal_cells"))
+    merged = merge.consolidate(b)
+    odd = merge.unequal(merged, merge.replay(b)).agg(F.count("*").alias("unequal_cells"))
+    return merged.agg(F.count("*").alias("cells")).join(odd, how="cross")
 
 
 @query(f"WITH {SQL} SELECT coalesce(n.table_name, o.table_name) AS table_name, coalesce(n.entity, o.entity) AS entity, coalesce(n.code, o.code) AS code, coalesce(n.year, o.year) AS year, coalesce(n.value, o.value) AS value FROM base o FULL JOIN a_ n USING (table_name, entity, code, year)")
@@ -126,7 +130,7 @@ def dyadic_panel(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {SQL}, j AS (SELECT table_name, b.value AS a, i.value AS i, m.value AS b FROM merged m LEFT JOIN base b USING (table_name, entity, code, year) LEFT JOIN a_ i USING (table_name, entity, code, year))
 SELECT table_name, count(*) FILTER (WHERE a IS NULL AND b IS NOT NULL) AS added, count(*) FILTER (WHERE a <> b) AS revised, count(*) FILTER (WHERE a IS NOT NULL AND b IS NULL) AS removed,
-count(*) FILTER (WHERE a = b) AS unchanged, count(*) FILTER (WHERE i IS NULL AND a = b) AS backfilled, count(*) FILTER (WHERE a <> b AND (a = 0 OR abs(b - a) > 0.5 * abs(a))) AS large_revisions FROM j GROUP BY 1""")
+count(*) FILTER (WHERE a = b) AS unchanged, count(*) FILTER (WHERE i IS NULL AND a IS NOT NULL AND b IS NOT NULL) AS backfilled, count(*) FILTER (WHERE a <> b AND (a = 0 OR abs(b - a) > 0.5 * abs(a))) AS large_revisions FROM j GROUP BY 1""")
 def change_counts(spark: SparkSession, d: str) -> DataFrame:
     b = batches(spark, d)
     return compare.change_counts(part(b, "base"), part(b, "A"), merge.consolidate(b))
@@ -282,9 +286,14 @@ def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
     return panel.identity_violations(rows, ["table_name"])
 
 
-_ALIAS = """al AS (SELECT DISTINCT lower(trim(regexp_replace(a, '\\s+', ' ', 'g'))) AS norm, code FROM (SELECT ifs_name AS a, ifs_fipscode AS code FROM country_data UNION ALL SELECT unnest(alternative_names), ifs_fipscode FROM country_data) WHERE trim(a) <> ''),
-nm AS (SELECT regexp_replace(Country, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS original_name, count(*) AS "rows" FROM seriesdemopopulation GROUP BY 1 HAVING original_name <> '' AND regexp_full_match(original_name, '[\\x20-\\x7e]*')),
-cc AS (SELECT original_name, "rows", count(DISTINCT code) AS n, min(code) AS code FROM nm LEFT JOIN al ON lower(trim(regexp_replace(original_name, '\\s+', ' ', 'g'))) = norm GROUP BY ALL),
+def _fold(c: str) -> str:
+    """The name folding as far as it occurs: composed, in lower case, white space of any kind made single blanks."""
+    return f"trim(regexp_replace(lower(nfc_normalize({c})), '[\\s\\p{{Z}}]+', ' ', 'g'))"
+
+
+_ALIAS = f"""al AS (SELECT DISTINCT {_fold('a')} AS norm, code FROM (SELECT ifs_name AS a, ifs_fipscode AS code FROM country_data UNION ALL SELECT unnest(alternative_names), ifs_fipscode FROM country_data) WHERE trim(a) <> ''),
+nm AS (SELECT regexp_replace(Country, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') AS original_name, count(*) AS "rows" FROM seriesdemopopulation GROUP BY 1 HAVING original_name <> ''),
+cc AS (SELECT original_name, "rows", count(DISTINCT code) AS n, min(code) AS code FROM nm LEFT JOIN al ON {_fold('original_name')} = norm GROUP BY ALL),
 conc AS (SELECT original_name, "rows", CASE WHEN n = 1 THEN code END AS code, CASE WHEN n = 1 THEN 'matched' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS status FROM cc)"""
 
 
@@ -299,8 +308,8 @@ def _concordance(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_ALIAS} SELECT * FROM conc")
 def concordance_match(spark: SparkSession, d: str) -> DataFrame:
-    """Exact matches of names in ASCII to codes, which is as far as the SQL can fold; `concordance_match_whole` has all names."""
-    return _concordance(spark, d).where(F.col("original_name").rlike(r"^[\x20-\x7e]*\z"))
+    """Exact matches of all names to codes."""
+    return _concordance(spark, d).where("original_name <> ''")
 
 
 @query(f"WITH {_ALIAS} SELECT code, count(*) AS sources, string_agg(original_name, ';' ORDER BY original_name) AS names FROM conc WHERE code IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
@@ -313,37 +322,13 @@ def concordance_status(spark: SparkSession, d: str) -> DataFrame:
     return identity.bundle_status(concordance_match(spark, d))
 
 
-@query()
-def concordance_match_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Exact matches of all names to codes, those beyond ASCII included; DuckDB has no NFKC, tests hold it against brute force."""
-    return _concordance(spark, d).where("original_name <> ''")
-
-
-@query()
-def converging_targets_whole(spark: SparkSession, d: str) -> DataFrame:
-    return identity.converging(concordance_match_whole(spark, d)).withColumn("sources", F.col("sources").cast("bigint"))
-
-
-@query()
-def concordance_status_whole(spark: SparkSession, d: str) -> DataFrame:
-    return identity.bundle_status(concordance_match_whole(spark, d))
-
-
-@query("""WITH r AS (SELECT ifs_name AS entity, ifs_fipscode AS code FROM country_data), al AS (SELECT norm, list_sort(list(DISTINCT code)) AS ch, bool_or(own) AS own FROM (SELECT lower(trim(regexp_replace(ifs_name, '\\s+', ' ', 'g'))) AS norm, ifs_fipscode AS code, true AS own FROM country_data
- UNION ALL SELECT lower(trim(regexp_replace(a, '\\s+', ' ', 'g'))), code, false FROM (SELECT unnest(alternative_names) AS a, ifs_fipscode AS code FROM country_data) WHERE trim(a) <> '') GROUP BY 1),
-s AS (SELECT row_id, Country, trim(FIPS_CODE) AS c FROM seriesdemopopulation WHERE Country IS NULL OR regexp_full_match(Country, '[\\x20-\\x7e]*')),
-j AS (SELECT s.*, r.code AS m, coalesce(len(ch), 0) AS n, ch[1] AS one, coalesce(own, false) AS own FROM s LEFT JOIN r ON r.code = s.c LEFT JOIN al ON al.norm = lower(trim(regexp_replace(Country, '\\s+', ' ', 'g')))),
-x AS (SELECT row_id, m, CASE WHEN n = 1 THEN one END AS one, CASE WHEN Country IS NULL THEN 'error_no_text' WHEN n > 0 AND NOT own THEN 'error_alias_needs_review' WHEN n > 1 OR (n = 1 AND m IS NOT NULL AND one <> m) THEN 'error_conflict'
+@query(f"""WITH al AS (SELECT norm, list_sort(list(DISTINCT code)) AS ch FROM (SELECT {_fold('ifs_name')} AS norm, ifs_fipscode AS code FROM country_data UNION ALL SELECT {_fold('a')}, code FROM (SELECT unnest(alternative_names) AS a, ifs_fipscode AS code FROM country_data) WHERE trim(a) <> '') GROUP BY 1),
+cn AS (SELECT DISTINCT {_fold('ifs_name')} AS norm FROM country_data), s AS (SELECT row_id, coalesce({_fold('Country')}, '') AS nm, coalesce({_fold('FIPS_CODE')}, '') AS c FROM seriesdemopopulation),
+j AS (SELECT s.*, r.ifs_fipscode AS m, coalesce(len(ch), 0) AS n, ch[1] AS one, cn.norm IS NOT NULL AS own FROM s LEFT JOIN country_data r ON lower(r.ifs_fipscode) = s.c LEFT JOIN al ON al.norm = nm AND nm <> '' LEFT JOIN cn ON cn.norm = nm),
+x AS (SELECT row_id, m, one, CASE WHEN n > 0 AND NOT own THEN 'error_alias_needs_review' WHEN n > 1 OR (n = 1 AND m IS NOT NULL AND one <> m) THEN 'error_conflict'
  WHEN m IS NOT NULL THEN 'canonical_code' WHEN c <> '' THEN 'error_unknown_code' WHEN n = 1 THEN 'recovered_code' ELSE 'error_unknown_name' END AS decision FROM j)
 SELECT row_id, decision, CASE decision WHEN 'canonical_code' THEN m WHEN 'recovered_code' THEN one END AS fixed_code FROM x""")
 def repair_identity(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "seriesdemopopulation").select("row_id", F.col("Country").alias("entity"), F.col("FIPS_CODE").alias("code")).where(F.col("entity").isNull() | F.col("entity").rlike(r"^[\x20-\x7e]*\z"))
-    return identity.repair_identity(rows, _roster(spark, d), _alias(spark, d)).select("row_id", "decision", "fixed_code")
-
-
-@query()
-def repair_identity_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Decisions for all rows, names beyond ASCII included; `repair_identity` has those that its SQL can fold."""
     rows = table(spark, d, "seriesdemopopulation").select("row_id", F.col("Country").alias("entity"), F.col("FIPS_CODE").alias("code"))
     return identity.repair_identity(rows, _roster(spark, d), _alias(spark, d)).select("row_id", "decision", "fixed_code")
 
@@ -355,17 +340,30 @@ def distinct_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SURPLUS = """ros AS (SELECT n_name AS entity, concat('N', lpad(CAST(n_nationkey AS VARCHAR), 2, '0')) AS code FROM nation),
-inp AS (SELECT 'T' AS table_name, entity, code FROM ros UNION ALL SELECT 'T', concat('Extra ', r_name), concat('X', CAST(r_regionkey AS VARCHAR)) FROM region UNION ALL SELECT 'U', entity, code FROM ros WHERE code <> 'N00' UNION ALL SELECT 'U', concat('Extra ', r_name), 'X0' FROM region)"""
+inp AS (SELECT 'T' AS table_name, entity, code FROM ros UNION ALL SELECT 'T', concat('Extra ', r_name), concat('X', CAST(r_regionkey AS VARCHAR)) FROM region UNION ALL SELECT 'U', entity, code FROM ros WHERE code <> 'N00' UNION ALL SELECT 'U', concat('Extra ', r_name), 'X0' FROM region UNION ALL SELECT 'V', CASE WHEN code = 'N01' THEN NULL ELSE lower(entity) END, concat(' ', lower(code)) FROM ros UNION ALL SELECT 'V', concat('Extra ', r_name), NULL FROM region UNION ALL SELECT 'V', NULL, NULL FROM region UNION ALL SELECT 'W', entity, code FROM ros UNION ALL SELECT 'W', upper(concat(' ', entity, '  ')), 'X9' FROM ros WHERE code = 'N02' UNION ALL SELECT 'W', concat('Extra ', r_name), 'X8' FROM region)"""
 
 
-@query(f"WITH {_SURPLUS}, done AS (SELECT table_name FROM inp JOIN ros USING (code) GROUP BY 1 HAVING count(*) = (SELECT count(*) FROM ros) AND count(DISTINCT code) = count(*)) SELECT * FROM inp WHERE code NOT IN (SELECT code FROM ros) AND lower(entity) NOT IN (SELECT lower(entity) FROM ros) AND table_name IN (SELECT table_name FROM done)")
+@query(f"""WITH {_SURPLUS}, full_ AS (SELECT row_number() OVER () AS id, table_name, entity, code, lower(trim(coalesce(entity, ''))) AS nm, upper(trim(coalesce(code, ''))) AS cd FROM inp WHERE entity IS NOT NULL OR code IS NOT NULL),
+t AS (SELECT f.*, c.code AS by_code, n.code AS by_name FROM full_ f LEFT JOIN ros c ON c.code = f.cd LEFT JOIN ros n ON lower(n.entity) = f.nm),
+r AS (SELECT *, CASE WHEN by_code IS NOT NULL AND coalesce(by_name, by_code) = by_code THEN by_code WHEN by_code IS NULL AND cd = '' THEN by_name END AS found FROM t),
+done AS (SELECT table_name FROM r WHERE found IS NOT NULL GROUP BY 1 HAVING count(*) = (SELECT count(*) FROM ros) AND count(DISTINCT found) = count(*))
+SELECT table_name, entity, code FROM r WHERE by_code IS NULL AND by_name IS NULL AND table_name IN (SELECT table_name FROM done)""")
 def surplus_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Rows beyond a complete roster; the second table lacks a nation, so its extra rows stay."""
+    """Rows beyond a complete roster. T and V are complete, V in other spellings; U lacks a nation; W names one again, without its code."""
     ros = table(spark, d, "nation").select(F.col("n_name").alias("entity"), F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("code"))
-    extra = table(spark, d, "region").select(F.concat(F.lit("Extra "), "r_name").alias("entity"), F.concat(F.lit("X"), F.col("r_regionkey").cast("string")).alias("code"))
-    t = ros.unionByName(extra).select(F.lit("T").alias("table_name"), "entity", "code")
-    u = ros.where("code <> 'N00'").unionByName(extra.withColumn("code", F.lit("X0"))).select(F.lit("U").alias("table_name"), "entity", "code")
-    return repair.surplus_rows(t.unionByName(u), ros, ["table_name"]).select("table_name", "entity", "code")
+    regions = table(spark, d, "region").select(F.concat(F.lit("Extra "), "r_name").alias("entity"), F.concat(F.lit("X"), F.col("r_regionkey").cast("string")).alias("code"))
+    none = F.lit(None).cast("string")
+    put = lambda name, entity, code, rows: rows.select(F.lit(name).alias("table_name"), entity.alias("entity"), code.alias("code"))
+    e, c = F.col("entity"), F.col("code")
+    parts = [
+        put("T", e, c, ros), put("T", e, c, regions), put("U", e, c, ros.where("code <> 'N00'")), put("U", e, F.lit("X0"), regions),
+        put("V", F.when(c != "N01", F.lower(e)), F.concat(F.lit(" "), F.lower(c)), ros), put("V", e, none, regions), put("V", none, none, regions),
+        put("W", e, c, ros), put("W", F.upper(F.concat(F.lit(" "), e, F.lit("  "))), F.lit("X9"), ros.where("code = 'N02'")), put("W", e, F.lit("X8"), regions),
+    ]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return repair.surplus_rows(rows, ros, identity.aliases(ros), ["table_name"]).select("table_name", "entity", "code")
 
 
 # Screens -------------------------------------------------------------------------------------------------------------
@@ -415,7 +413,7 @@ def bounds(spark: SparkSession, d: str) -> DataFrame:
 _FLAT = f"{SQL}, fl AS (SELECT code, year, CASE WHEN year BETWEEN 1996 AND 1999 THEN 5.0 ELSE value END AS value FROM base)"
 
 
-@query(f"""WITH {_FLAT}, s AS (SELECT *, CASE WHEN value = lag(value) OVER w AND year - lag(year) OVER w <= 1 THEN 0 ELSE 1 END AS brk FROM fl WHERE value IS NOT NULL WINDOW w AS (PARTITION BY code ORDER BY year)),
+@query(f"""WITH {_FLAT}, s AS (SELECT *, CASE WHEN value = lag(value) OVER w AND year - lag(year) OVER w = 1 THEN 0 ELSE 1 END AS brk FROM fl WHERE value IS NOT NULL WINDOW w AS (PARTITION BY code ORDER BY year)),
 i AS (SELECT *, sum(brk) OVER (PARTITION BY code ORDER BY year) AS run FROM s), n AS (SELECT *, row_number() OVER (PARTITION BY code, run ORDER BY year) AS k FROM i) SELECT code, year AS reached, value FROM n WHERE k = 3""")
 def flat_run(spark: SparkSession, d: str) -> DataFrame:
     """Runs of three equal years, planted in the base from 1996 to 1999."""
@@ -469,10 +467,10 @@ def scale_share(spark: SparkSession, d: str) -> DataFrame:
     return screens.scale_shares(part(b, "base"), part(b, "A").withColumn("value", F.col("value") * 1000)).withColumn("share", F.round("share", 9))
 
 
-@query(f"""WITH {SQL}, inc AS (SELECT table_name, entity, code, year - 1 AS year, value FROM base), ok AS (SELECT code FROM base WHERE value IS NOT NULL GROUP BY 1 HAVING count(DISTINCT value) >= 3),
-j AS (SELECT i.table_name, i.entity, i.code, o.off AS offset_, i.value AS v, b.value AS w, s.value AS s FROM inc i JOIN ok USING (code), (SELECT unnest([-1, 1]) AS off) o JOIN base b ON b.code = i.code AND b.year = i.year + o.off AND b.value IS NOT NULL LEFT JOIN base s ON s.code = i.code AND s.year = i.year AND s.value IS NOT NULL WHERE i.value IS NOT NULL),
-g AS (SELECT table_name, entity, code, offset_, count(*) AS compared, count(*) FILTER (WHERE abs(v - w) <= greatest(1e-9 * greatest(abs(v), abs(w)), 1e-12)) AS shifted, count(*) FILTER (WHERE abs(v - s) <= greatest(1e-9 * greatest(abs(v), abs(s)), 1e-12)) AS same FROM j GROUP BY ALL)
-SELECT table_name, entity, code, offset_ AS "offset", compared, shifted, same FROM g WHERE compared >= 5 AND shifted / compared >= 0.8 AND (shifted - same) / compared >= 0.3""")
+@query(f"""WITH {SQL}, inc AS (SELECT table_name, entity, code, year - 1 AS year, value FROM base WHERE value IS NOT NULL), ok AS (SELECT code FROM base WHERE value IS NOT NULL GROUP BY 1 HAVING count(DISTINCT value) >= 3),
+j AS (SELECT i.table_name, o.off AS offset_, i.value AS v, w.value AS w, s.value AS s FROM inc i JOIN ok USING (code) JOIN base s ON s.code = i.code AND s.year = i.year AND s.value IS NOT NULL, (SELECT unnest([-1, 1]) AS off) o JOIN base w ON w.code = i.code AND w.year = i.year - o.off AND w.value IS NOT NULL),
+g AS (SELECT table_name, offset_, count(*) AS compared, count(*) FILTER (WHERE abs(v - w) <= greatest(1e-9 * greatest(abs(v), abs(w)), 1e-12)) AS shifted, count(*) FILTER (WHERE abs(v - s) <= greatest(1e-9 * greatest(abs(v), abs(s)), 1e-12)) AS same FROM j GROUP BY ALL)
+SELECT table_name, CAST(offset_ AS INT) AS "offset", compared, shifted, same FROM g WHERE compared >= 5 AND shifted / compared >= 0.8 AND (shifted - same) / compared >= 0.3""")
 def year_shift(spark: SparkSession, d: str) -> DataFrame:
     """The base moved back by a year against itself."""
     base = part(batches(spark, d), "base")
@@ -523,14 +521,15 @@ def sum_rule(spark: SparkSession, d: str) -> DataFrame:
 
 # Findings, metadata, sets --------------------------------------------------------------------------------------------
 
-_FINDINGS = f"""{_MOVES}, fi AS (SELECT batch, 'internal_gap' AS rule, code FROM mv WHERE to_year - from_year > 1 UNION ALL SELECT batch, 'temporal_jump', code FROM mv WHERE to_year - from_year = 1 AND abs(delta) > 0 AND (rel IS NULL OR abs(rel) > 0.5)
-UNION ALL SELECT batch, CASE WHEN value < 80 THEN 'value_below_bound' ELSE 'value_above_bound' END, code FROM batches WHERE value < 80 OR value > 120)"""
+_FINDINGS = f"""{_MOVES}, fi AS (SELECT batch, 'internal_gap' AS rule, code, concat_ws('|', code, from_year, to_year, CAST(before AS BIGINT), CAST(after AS BIGINT)) AS evidence FROM mv WHERE to_year - from_year > 1 UNION ALL SELECT batch, 'temporal_jump', code, concat_ws('|', code, from_year, to_year, CAST(before AS BIGINT), CAST(after AS BIGINT)) FROM mv WHERE to_year - from_year = 1 AND abs(delta) > 0 AND (rel IS NULL OR abs(rel) > 0.5)
+UNION ALL SELECT batch, CASE WHEN value < 80 THEN 'value_below_bound' ELSE 'value_above_bound' END, code, concat_ws('|', code, year, CAST(value AS BIGINT)) FROM batches WHERE value < 80 OR value > 120)"""
 
 
 def _findings(spark: SparkSession, d: str) -> DataFrame:
     b = batches(spark, d)
     m = screens.transitions(b)
-    parts = [screens.internal_gaps(m).select("batch", F.lit("internal_gap").alias("rule"), "code"), screens.temporal_jumps(m).select("batch", F.lit("temporal_jump").alias("rule"), "code"), screens.out_of_bounds(b, 80.0, 120.0).select("batch", "rule", "code")]
+    move = F.concat_ws("|", "code", "from_year", "to_year", F.col("before").cast("bigint"), F.col("after").cast("bigint")).alias("evidence")
+    parts = [screens.internal_gaps(m).select("batch", F.lit("internal_gap").alias("rule"), "code", move), screens.temporal_jumps(m).select("batch", F.lit("temporal_jump").alias("rule"), "code", move), screens.out_of_bounds(b, 80.0, 120.0).select("batch", "rule", "code", F.concat_ws("|", "code", "year", F.col("value").cast("bigint")).alias("evidence"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -539,16 +538,16 @@ def finding_counts(spark: SparkSession, d: str) -> DataFrame:
     return _findings(spark, d).groupBy("batch", "rule").agg(F.count("*").alias("findings"), F.countDistinct("code").alias("entities"))
 
 
-@query(f"WITH {_FINDINGS}, r AS (SELECT rule, code AS signature, list(DISTINCT CASE batch WHEN 'base' THEN 'base' WHEN 'A' THEN 'final' ELSE 'incoming' END) AS roles FROM fi GROUP BY ALL) SELECT fi.rule, fi.code AS signature, CASE WHEN list_contains(roles, 'base') THEN 'also_in_base' WHEN list_contains(roles, 'incoming') THEN 'also_in_incoming' ELSE 'dataset_specific_or_unresolved' END AS classification FROM fi JOIN r ON r.rule = fi.rule AND r.signature = fi.code WHERE batch = 'A'")
+@query(f"WITH {_FINDINGS}, r AS (SELECT rule, evidence AS signature, list(DISTINCT CASE batch WHEN 'base' THEN 'base' WHEN 'A' THEN 'final' ELSE 'incoming' END) AS roles FROM fi GROUP BY ALL) SELECT fi.rule, fi.evidence AS signature, CASE WHEN list_contains(roles, 'base') THEN 'also_in_base' WHEN list_contains(roles, 'incoming') THEN 'also_in_incoming' WHEN fi.rule = 'blending_boundary_jump' THEN 'blending_boundary' ELSE 'dataset_specific_or_unresolved' END AS classification FROM fi JOIN r ON r.rule = fi.rule AND r.signature = fi.evidence WHERE batch = 'A'")
 def finding_classes(spark: SparkSession, d: str) -> DataFrame:
     role = F.when(F.col("batch") == "base", "base").when(F.col("batch") == "A", "final").otherwise("incoming")
-    return compare.classify_findings(_findings(spark, d).select(role.alias("role"), "rule", F.col("code").alias("signature")))
+    return compare.classify_findings(_findings(spark, d).select(role.alias("role"), "rule", F.col("evidence").alias("signature")))
 
 
 @query(f"WITH {_FINDINGS} SELECT batch, rule, code FROM fi ORDER BY batch, rule, code LIMIT 40")
 def top_findings(spark: SparkSession, d: str) -> DataFrame:
     """The first forty findings, as a report shows them."""
-    return _findings(spark, d).orderBy("batch", "rule", "code").limit(40)
+    return _findings(spark, d).select("batch", "rule", "code").orderBy("batch", "rule", "code").limit(40)
 
 
 _META = """lst AS (SELECT * FROM datadict QUALIFY row_number() OVER (PARTITION BY "Table", Variable ORDER BY coalesce("Last IFs Update", '') DESC, coalesce(Units, '') DESC, coalesce(Definition, '') DESC) = 1 AND row_number() OVER (PARTITION BY "Table" ORDER BY coalesce("Last IFs Update", '') DESC, coalesce(Units, '') DESC, coalesce(Definition, '') DESC) = 1),
@@ -559,10 +558,13 @@ def _metadata(spark: SparkSession, d: str, newest: bool) -> DataFrame:
     rows = table(spark, d, "datadict").where("`Table` IS NOT NULL").select("Table", "Units", "Definition", "Source", F.col("`Last IFs Update`").alias("stamp"))
     key = F.struct(*[F.coalesce(F.col(c), F.lit("")) for c in ("stamp", "Units", "Definition")])
     pick = F.max_by if newest else F.min_by
-    return rows.groupBy("Table").agg(pick(F.struct("Units", "Definition"), key).alias("m")).select("Table", "m.Units", "m.Definition")
+    return rows.groupBy("Table").agg(pick(F.struct("Units", "Definition", "stamp"), key).alias("m")).select("Table", "m.Units", "m.Definition", "m.stamp")
+
 
+_SIDE = "CASE f.field WHEN 'Units' THEN {0}.Units WHEN 'stamp' THEN {0}.\"Last IFs Update\" ELSE {0}.Definition END"
 
-@query(f"WITH {_META} SELECT l.\"Table\", f.field, CASE f.field WHEN 'Units' THEN o.Units ELSE o.Definition END AS before, CASE f.field WHEN 'Units' THEN l.Units ELSE l.Definition END AS after FROM lst l JOIN old o ON l.\"Table\" = o.\"Table\", (SELECT unnest(['Units', 'Definition']) AS field) f WHERE CASE f.field WHEN 'Units' THEN o.Units ELSE o.Definition END IS DISTINCT FROM CASE f.field WHEN 'Units' THEN l.Units ELSE l.Definition END")
+
+@query(f"WITH {_META} SELECT l.\"Table\", f.field, {_SIDE.format('o')} AS before, {_SIDE.format('l')} AS after FROM lst l JOIN old o ON l.\"Table\" = o.\"Table\", (SELECT unnest(['Units', 'Definition', 'stamp']) AS field) f WHERE {_SIDE.format('o')} IS DISTINCT FROM {_SIDE.format('l')}")
 def metadata_diff(spark: SparkSession, d: str) -> DataFrame:
     """Fields in which the oldest and the newest metadata row of a table differ."""
     return merge.metadata_diff(_metadata(spark, d, False), _metadata(spark, d, True), ["Table"])
@@ -571,7 +573,7 @@ def metadata_diff(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_META} SELECT o.\"Table\", l.Units, o.Definition FROM old o JOIN lst l ON l.\"Table\" = o.\"Table\"")
 def metadata_merge(spark: SparkSession, d: str) -> DataFrame:
     """Oldest rows with the newest units laid over; the definition isn't supplied and stays."""
-    return merge.metadata_merge(_metadata(spark, d, False), _metadata(spark, d, True).select("Table", "Units"), ["Table"])
+    return merge.metadata_merge(_metadata(spark, d, False).drop("stamp"), _metadata(spark, d, True).select("Table", "Units"), ["Table"])
 
 
 @query("""WITH t AS (SELECT DISTINCT table_name FROM seriesdemopopulation), m AS (SELECT DISTINCT "Table" AS table_name FROM datadict)
@@ -581,14 +583,13 @@ def metadata_issues(spark: SparkSession, d: str) -> DataFrame:
     return merge.metadata_issues(table(spark, d, "datadict"), table(spark, d, "seriesdemopopulation"), ["Units", "Source"])
 
 
-@query("SELECT CAST(0 AS BIGINT) AS differing_rows")
+@query(f"""WITH {SQL}, o AS (SELECT code, year, value FROM base), n AS (SELECT code, year, value FROM a_)
+SELECT side, count(*) AS differing_rows FROM (SELECT 'left' AS side, * FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n) UNION ALL SELECT 'right', * FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o)) GROUP BY 1""")
 def multiset_equal(spark: SparkSession, d: str) -> DataFrame:
-    """Rows in which the observations, counted in two ways, differ as multisets: none."""
-    a = observations(spark, d).select("code", "year", "value")
-    orders = table(spark, d, "orders").join(table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
-    b = orders.groupBy("c_nationkey", F.year("o_orderdate").alias("year")).agg(F.count("*").cast("double").alias("value"))
-    b = b.select(F.concat(F.lit("N"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("code"), F.col("year").cast("int").alias("year"), "value")
-    return repair.multiset_difference(a, b).agg(F.count("*").alias("differing_rows"))
+    """Rows by which the base and the first batch differ as multisets, per side."""
+    b = batches(spark, d)
+    pick = lambda x: part(b, x).select("code", "year", "value")
+    return repair.multiset_difference(pick("base"), pick("A")).groupBy("side").agg(F.count("*").alias("differing_rows"))
 
 
 @query("SELECT import_file, count(*) AS n FROM seriesbad WHERE trim(coalesce(Country, '')) = '' AND trim(coalesce(FIPS_CODE, '')) = '' AND trim(coalesce(\"2020\", '')) = '' GROUP BY 1")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,15 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one in the local temporary folder only where the setting is unset."""
+    """The shared folder of spark.checkpoint.dir. Only a session in one process may do without; it gets a folder of its own."""
     known = spark.conf.get("spark.checkpoint.dir", None)
-    if not known:
-        known = "file://" + os.path.join(tempfile.gettempdir(), "panelforge-checkpoints")
-    return known
+    if known:
+        return known
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    own = tempfile.mkdtemp(prefix="panelforge-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return f"file://{own}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there: lineage is cut and a lost executor loses nothing."""
+    """Write df to the shared checkpoint folder and go on from there: lineage is cut and a lost executor loses nothing.
+
+    With spark.cleaner.referenceTracking.cleanCheckpoints set, Spark removes what no frame refers to any more.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))

@@ -16,7 +16,8 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from panelforge.operators.repair import multiset_difference
 
-LABEL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,63}")
+# Fixed value: what a release may be called.
+LABEL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,79}")
 
 
 def write_parquet(df: DataFrame, path: str, partition: str | None = None, verify: bool = True) -> None:
@@ -86,7 +87,7 @@ def verify(folder: str) -> list[str]:
     return sorted(k for k in was.keys() | now.keys() if was.get(k) != now.get(k))
 
 
-def publish(candidate: str, releases: str, label: str, warnings_accepted: bool = True, warnings: int = 0) -> str:
+def publish(candidate: str, releases: str, label: str, warnings_accepted: bool = False, warnings: int = 0) -> str:
     """Copy a sealed candidate to a named release; an existing name, a broken seal or unaccepted warnings stop it."""
     if not LABEL.fullmatch(label):
         raise ValueError(f"no release label: {label}")

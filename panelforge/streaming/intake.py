@@ -1,7 +1,8 @@
 """Streaming intake: batches that arrive as files are merged as they come, with the newest non-null value per cell.
 
 The state is a run of latest versions per cell, kept as a Parquet folder per round in the shared folder. A round merges its
-rows into the last state and writes the next; a repeated round overwrites the same folder, so a restart changes nothing.
+rows into the last state and writes the next; a repeated round overwrites the same folder, so a restart changes nothing. A
+state that is missing or unfinished where one must be is an error, never an empty start.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ def merge_round(rows: DataFrame, round_no: int, state: str, every: int = 1) -> N
     """Merge one round into the state of the round before."""
     spark = rows.sparkSession
     before = _state(spark, state, round_no - every)
+    if before is None and round_no - every >= 0:
+        raise ValueError(f"round {round_no} needs the finished state of round {round_no - every} in {state}")
     both = rows.unionByName(before) if before is not None else rows
     latest(both).write.mode("overwrite").parquet(f"{state}/round={round_no}")
 
@@ -42,9 +45,14 @@ def follow(spark: SparkSession, folder: str, state: str, checkpoint: str, once:
 
 
 def current(spark: SparkSession, state: str) -> DataFrame:
-    """The state of the last finished round."""
-    rounds = spark.read.parquet(state)
-    return rounds.where(F.col("round") == rounds.agg(F.max("round")).collect()[0][0]).drop("round")
+    """The state of the last finished round; an error if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(state)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    rounds = sorted((int(p.getPath().getName().split("=")[1]) for p in found if p.getPath().getName().startswith("round=")), reverse=True)
+    done = next((r for r in (_state(spark, state, n) for n in rounds) if r is not None), None)
+    if done is None:
+        raise ValueError(f"no finished round in {state}")
+    return done
 
 
 def windowed_counts(stream: DataFrame, late: str = "1 hour", width: str = "1 day") -> DataFrame:

@@ -44,6 +44,7 @@ def test_gaps_jumps_and_runs(spark):
     assert [(r["from_year"], r["to_year"]) for r in screens.internal_gaps(m).collect()] == [(2001, 2003)]
     assert screens.flat_runs(line(spark, [0, 1e-12, None, 10, 10, 10, 10, 10, 10])).count() == 1
     assert [r["spike"] for r in screens.spike_reversals(screens.transitions(line(spark, [10, 1000, 10]))).collect()] == [1000.0]
+    assert screens.flat_runs(line(spark, [1, None, 1, None, 1, None, 1]), Rules(freq=5, flat_run=3)).count() == 0, "two years apart at a frequency of five"
     five = line(spark, [1, None, None, None, None, 1.1])
     assert screens.internal_gaps(screens.transitions(five, Rules(freq=5)), Rules(freq=5)).count() == 0
     assert screens.internal_gaps(screens.transitions(five)).count() == 1
@@ -72,10 +73,20 @@ def test_swaps_shifts_and_misplacement(spark):
     assert {(r["code"], r["owner"]) for r in screens.misplaced(a, b).collect()} == {("A", "B"), ("B", "A")}
     assert screens.misplaced(a, a).count() == 0
     moved = a.withColumn("year", a["year"] + 1)
-    assert {(r["code"], r["offset"]) for r in screens.year_shifts(a, moved).collect()} == {("A", -1), ("B", -1)}
+    assert [(r["table_name"], r["offset"], r["compared"], r["shifted"], r["same"]) for r in screens.year_shifts(a, moved).collect()] == [("T", 1, 10, 10, 0)]
     assert screens.year_shifts(a, a).count() == 0
 
 
+def test_year_shifts_are_summed_over_a_table(spark):
+    """Ten entities with three comparable cells each are evidence together, none is alone."""
+    rows = [line(spark, [k, k + 10, k + 30, k + 60], code=f"C{k}") for k in range(10)]
+    base = rows[0]
+    for r in rows[1:]:
+        base = base.unionByName(r)
+    back = base.withColumn("year", base["year"] - 1)
+    assert [(r["offset"], r["compared"]) for r in screens.year_shifts(base, back).collect()] == [(-1, 30)]
+
+
 def test_bucketed_swaps_lose_no_pair(spark):
     import itertools
     import random
@@ -125,9 +136,12 @@ def test_names_fold_and_decisions(spark):
     names = spark.createDataFrame([("  EXAMPLE   a ",), ("ＳＴＲＡＳＳＥ b",), ("Exampel A",), ("shared",), ("A-land",), ("Example A",)], "original_name string")
     got = {r["original_name"]: (r["code"], r["status"]) for r in identity.concordance(names, alias).collect()}
     assert got == {"EXAMPLE   a": ("AAA", "matched"), "ＳＴＲＡＳＳＥ b": ("BBB", "matched"), "Exampel A": (None, "unresolved"), "shared": (None, "ambiguous"), "A-land": ("AAA", "matched"), "Example A": ("AAA", "matched")}
-    rows = spark.createDataFrame([(1, "Exampel A", " AAA "), (2, "A-land", "AAA"), (3, "Example A", "BBB"), (4, "Example A", None), (5, "Nobody", "ZZZ"), (6, None, "AAA"), (7, "Shared", "BBB"), (8, "Nobody", "")], "row_id int, entity string, code string")
+    rows = spark.createDataFrame([(1, "Exampel A", " AAA "), (2, "A-land", "AAA"), (3, "Example A", "BBB"), (4, "Example A", None), (5, "Nobody", "ZZZ"), (6, None, "AAA"), (7, "Shared", "BBB"), (8, "Nobody", ""), (9, None, " aaa"), (10, "Example A", "ａａａ"), (11, " ", None)], "row_id int, entity string, code string")
     told = {r["row_id"]: (r["decision"], r["fixed_code"]) for r in identity.repair_identity(rows, roster.select("entity", "code"), alias).collect()}
-    assert told == {1: ("canonical_code", "AAA"), 2: ("error_alias_needs_review", None), 3: ("error_conflict", None), 4: ("recovered_code", "AAA"), 5: ("error_unknown_code", None), 6: ("error_no_text", None), 7: ("error_alias_needs_review", None), 8: ("error_unknown_name", None)}
+    assert told == {1: ("canonical_code", "AAA"), 2: ("error_alias_needs_review", None), 3: ("error_conflict", None), 4: ("recovered_code", "AAA"), 5: ("error_unknown_code", None), 6: ("canonical_code", "AAA"), 7: ("error_alias_needs_review", None), 8: ("error_unknown_name", None), 9: ("canonical_code", "AAA"), 10: ("canonical_code", "AAA"), 11: ("error_unknown_name", None)}
+    reviewed = spark.createDataFrame([("A-land", "AAA"), ("Shared", "BBB"), ("Nobody", None), ("Example A", "CCC")], "original_name string, matched_code string")
+    told = {r["row_id"]: (r["decision"], r["fixed_code"]) for r in identity.repair_identity(rows, roster.select("entity", "code"), alias, reviewed).collect()}
+    assert (told[2], told[4], told[5], told[7]) == (("canonical_code", "AAA"), ("error_review_contradicts", None), ("error_review_pending", None), ("error_review_contradicts", None))
 
 
 def test_strict_text(spark):
@@ -150,3 +164,47 @@ def test_metadata_and_multisets(spark):
     assert got == {"T": (None, "d"), "U": ("k", "d")}
     assert [(r["field"], r["before"], r["after"]) for r in merge.metadata_diff(base, merge.metadata_merge(base, new, ["Table", "Variable"]), ["Table", "Variable"]).collect()] == [("Units", "persons", None)]
     assert repair.multiset_difference(base, base).count() == 0 and repair.multiset_difference(base.union(base), base).count() == 2
+
+
+def test_surplus_rows_are_never_recognizable(spark):
+    ros = spark.createDataFrame([("France", "FR"), ("Chad", "TD")], "entity string, code string")
+    alias = identity.aliases(spark.createDataFrame([("France", "FR", ["Gaul"]), ("Chad", "TD", None)], "entity string, code string, o array<string>"), "o")
+    full = [("T", "France", "FR"), ("T", "Chad", "TD")]
+    ask = lambda more: {r["entity"] for r in repair.surplus_rows(spark.createDataFrame(full + more, "table_name string, entity string, code string"), ros, alias, ["table_name"]).collect()}
+    assert ask([("T", "World", None), ("T", "Atlantis", "XX"), ("T", None, None), ("T", " ", "")]) == {"World", "Atlantis"}
+    assert ask([("T", "World", None), ("T", " france ", None)]) == set(), "a repeated entity makes the roster incomplete"
+    assert ask([("T", "World", None), ("T", "FRANCE\u00a0", "XX")]) == {"World"}, "a known name beside an unknown code is a conflict"
+    assert ask([("T", "World", None), ("T", "Gaul", None)]) == {"World"}, "an alias awaits its review"
+
+
+def test_findings_are_classified_by_numbers_and_base_first(spark):
+    rows = [("base", "jump", "1"), ("final", "jump", "1"), ("final", "jump", "2"), ("incoming", "jump", "2"), ("final", "blending_boundary_jump", "3"), ("base", "blending_boundary_jump", "3"), ("final", "blending_boundary_jump", "4"), ("final", "jump", "5")]
+    got = {r["signature"]: r["classification"] for r in compare.classify_findings(spark.createDataFrame(rows, "role string, rule string, signature string")).collect()}
+    assert got == {"1": "also_in_base", "2": "also_in_incoming", "3": "also_in_base", "4": "blending_boundary", "5": "dataset_specific_or_unresolved"}
+
+
+def test_cohorts_need_declared_additivity(spark):
+    b = line(spark, [10, 10]).unionByName(line(spark, [1000, None], code="B"))
+    got = {(r["cohort"], r["metric"]): (r["before"], r["after"], r["aggregate_jump"]) for r in screens.cohort_changes(b, True).collect()}
+    assert got["available", "total"] == (1010.0, 10.0, False) and got["matched", "total"] == (10.0, 10.0, False)
+    assert {m: v for (c, m), v in got.items() if c == "matched"}["median"] == (10.0, 10.0, False)
+    undeclared = {(r["cohort"], r["metric"]): r["before"] for r in screens.cohort_changes(b, False).collect()}
+    assert undeclared["matched", "total"] is None and undeclared["matched", "mean"] == 10.0
+
+
+def test_what_is_empty_lost_or_new(spark):
+    from pyspark.sql import functions as F
+
+    b = cells(spark, ("x", 0, "A", 1, 1.0), ("x", 0, "A", 2, None), ("x", 0, "B", 1, None), ("x", 0, "B", 2, None))
+    assert {(r["rule"], r["code"], r["year"]) for r in screens.empty_findings(b).collect()} == {("all_null_country", "B", None), ("all_null_year", None, 2)}
+    new = cells(spark, ("x", 0, "A", 1, None)).unionByName(cells(spark, ("x", 0, "A", 1, 1.0)).withColumn("table_name", F.lit("x")))
+    assert {(r["rule"], r["table_name"], r["code"], r["year"]) for r in screens.lost_findings(b, new).collect()} == {("lost_observation", "T", "A", 1), ("historical_years_absent", "T", None, 2), ("new_table", "x", None, None)}
+
+
+def test_large_rosters_meet_every_table(spark):
+    from pyspark.sql import functions as F
+
+    roster = spark.range(300).select(F.format_string("E%d", "id").alias("entity"), F.format_string("C%d", "id").alias("code"))
+    long = spark.createDataFrame([("T", "C1"), ("U", "C2")], "table_name string, code string")
+    got = panel.absent_entities(long, roster, ["table_name"])
+    assert got.count() == got.distinct().count() == 598

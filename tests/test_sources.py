@@ -43,12 +43,12 @@ def test_wide_csv_and_nested_zip(spark, tmp_path):
     got = {(r["Country"], r["year"]): (r["value"], r["violation"]) for r in files.read_wide_csv(spark, str(tmp_path / "w.csv"), ["Country"]).collect()}
     assert got == {("A, b", 2001): (1.5, None), ("A, b", 2000): (None, None), ("C", 2001): (None, "value"), ("C", 2000): (2.0, None)}
     with zipfile.ZipFile(tmp_path / "in.zip", "w") as z:
-        z.writestr("a.csv", "x\n1\n")
+        z.writestr("a.csv", 'x\n1\n"a\nb",c\n')
     with zipfile.ZipFile(tmp_path / "out.zip", "w") as z:
         z.write(tmp_path / "in.zip", "deep/in.zip")
         z.writestr("b.csv", "y\n")
-    lines = {(r["member"], r["line_no"]): r["line"] for r in files.read_zip_csv(spark, str(tmp_path / "out.zip")).collect()}
-    assert lines == {("deep/in.zip/a.csv", 0): "x", ("deep/in.zip/a.csv", 1): "1", ("b.csv", 0): "y"}
+    lines = {(r["member"], r["row_no"]): r["fields"] for r in files.read_zip_csv(spark, str(tmp_path / "out.zip")).collect()}
+    assert lines == {("deep/in.zip/a.csv", 0): ["x"], ("deep/in.zip/a.csv", 1): ["1"], ("deep/in.zip/a.csv", 2): ["a\nb", "c"], ("b.csv", 0): ["y"]}
 
 
 def test_sqlite_both_ways(spark, tmp_path):
@@ -81,6 +81,8 @@ def test_sinks_and_releases(spark, tmp_path):
     sinks.seal(str(folder))
     assert sinks.verify(str(folder)) == []
     (tmp_path / "releases").mkdir()
+    with pytest.raises(ValueError, match="aren't accepted"):
+        sinks.publish(str(folder), str(tmp_path / "releases"), "8.68", warnings=1)
     made = sinks.publish(str(folder), str(tmp_path / "releases"), "8.68")
     assert spark.read.parquet(made + "/p").count() == 2
     with pytest.raises(FileExistsError):
@@ -123,9 +125,10 @@ def test_delivery_skips_bad_tables_and_verifies(spark):
     assert {(r["batch"], r["rule"]) for r in d.skipped.collect()} == {("y", "name_with_several_codes")}
     assert {(r["year"], r["value"], r["origin"]) for r in d.merged.collect()} == {(2000, 1.0, "base"), (2001, 9.0, "x")}
     assert d.mismatches.count() == 0 and d.counts.collect()[0]["revised"] == 1
-    assert delivery.gate(d.findings, {}) == [] or delivery.gate(d.findings, {"T": "accept: checked"}) == []
+    told = {(r["rule"], r["batch"], r["severity"]) for r in d.findings.collect()}
+    assert ("aggregate_jump", "base", "review") not in told and all(s in ("error", "review", "info") for _, _, s in told)
     base = spark.createDataFrame(rows[:2], BATCH).drop("batch", "seq")
-    assert "| T | 0 | 1 | 0 |" in delivery.report(d, base, "Delivery")
+    assert "| T | 0 | 1 | 0 |" in delivery.report(d, base, base, "Delivery")
     evidence = delivery.quality(base, base.withColumn("value", F.col("value") * 1000), d.merged)
     assert all(df.limit(1).count() >= 0 for df in evidence.values()) and evidence["comparisons"].where("outcome = 'revised'").count() == 2
     with pytest.raises(ValueError, match="order"):
@@ -136,3 +139,90 @@ def test_delivery_skips_bad_tables_and_verifies(spark):
 def test_number_classes(spark):
     df = spark.createDataFrame([(None,), (0.0,), (5.0,), (-999.0,), (float("inf"),), (float("nan"),)], "v double")
     assert [r[0] for r in df.select(panel.number_class(F.col("v"), [-999.0])).collect()] == ["sql_null", "numeric_zero", "numeric", "declared_numeric_token", "invalid_value", "invalid_value"]
+
+
+def test_long_delivery_rules(spark):
+    rows = spark.createDataFrame([("AAA", "POP", "0001", "1", "persons"), ("AAA", "POP", "3000", "1", "persons"), ("AAA", "POP", "2000", "1", None), ("AAA", "POP", "1000", "1", "persons")], "code string, indicator string, year string, value string, unit string")
+    recipe = Recipe({**RECIPE.indicators, "GDP": Indicator("SeriesGdp")})
+    got = {(r["year"], r["violation"]) for r in files.load_long(rows, recipe, roster(spark)).collect()}
+    assert got == {(1, "year"), (1000, None), (2000, "unit"), (3000, "year"), (None, "absent")}
+
+
+def test_references_and_mappings_that_contradict_themselves(spark):
+    put = lambda *rows: spark.createDataFrame(rows, "Country string, FIPS_CODE string, source_code string")
+    assert files.country_reference(put((" A ", "AA", "1"), ("A", "AA ", "2"), ("B", "BB", "3"))).count() == 3
+    for bad in ([("A", "AA", "1"), ("B", "AA", "2")], [("A", "AA", "1"), ("A", "BB", "2")], [("A", "AA", "1"), ("B", "BB", "1")], [("A", None, "1")], [(" ", "AA", "1")]):
+        with pytest.raises(ValueError):
+            files.country_reference(put(*bad))
+    named = lambda *rows: spark.createDataFrame(rows, "original_name string, matched_name string")
+    got = files.reviewed_mapping(named((" Exampel A", "Example A"), ("Elsewhere", "")), roster(spark)).collect()
+    assert {(r["original_name"], r["matched_code"]) for r in got} == {("Exampel A", "AAA"), ("Elsewhere", None)}
+    for bad in ([("x", "Example A"), ("x ", "Example B")], [("x", "Nowhere")], [(" ", "Example A")]):
+        with pytest.raises(ValueError):
+            files.reviewed_mapping(named(*bad), roster(spark))
+    with pytest.raises(ValueError, match="columns"):
+        files.reviewed_mapping(named(("x", "y")).drop("matched_name"), roster(spark))
+
+
+SHEET = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="inlineStr"><is><t>x</t></is></c></row><row r="3"><c r="B3"><f>1+1</f><v>2</v></c></row></sheetData></worksheet>'
+
+
+def test_workbooks(spark, tmp_path):
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    with zipfile.ZipFile(tmp_path / "b.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="Data" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>Coun</t><t>try</t></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", SHEET)
+    got = {r["row_no"]: r["cells"] for r in files.read_xlsx(spark, str(tmp_path / "b.xlsx"), "Data").collect()}
+    assert got == {1: ["Country", None, "x"], 3: [None, "2"]}
+
+
+def test_catalog_and_discovery(spark, tmp_path):
+    path = str(tmp_path / "IFsDataImport_2024-03-01.db")
+    with sqlite3.connect(path) as db:
+        db.execute('CREATE TABLE SeriesA (Country, FIPS_CODE, "2000")')
+        db.execute("CREATE TABLE SeriesB (Actor, Actor_FIPS, Partner, Partner_FIPS, '2024')")
+        db.execute("CREATE TABLE seriesx (note)")
+        db.execute("INSERT INTO SeriesA VALUES (1, 2, 3)")
+    got = {r["name"]: (r["kind"], r["years"], r["rows"]) for r in files.catalog(spark, path).collect()}
+    assert got == {"SeriesA": ("monadic", [2000], 1), "SeriesB": ("dyadic", [2024], 0), "seriesx": ("other", [], 0)}
+    assert files.sqlite_tables(path) == ["SeriesA", "SeriesB"]
+    (tmp_path / "IFsDataImport_x.db").write_bytes(b"x")
+    (tmp_path / "other.txt").write_text("x")
+    found = files.discover(spark, str(tmp_path), r"^IFsDataImport.*[.]db$").collect()
+    assert [(r["file"].rsplit("/", 1)[1], str(r["day"])) for r in found] == [("IFsDataImport_x.db", "None"), ("IFsDataImport_2024-03-01.db", "2024-03-01")]
+
+
+def test_lost_stream_state_is_an_error(spark, tmp_path):
+    import shutil
+
+    state = str(tmp_path / "state")
+    row = lambda y, v: spark.createDataFrame([("A", 1, "T", "A", "AAA", y, v)], BATCH)
+    intake.merge_round(row(2000, 1.0), 0, state)
+    intake.merge_round(row(2001, 2.0), 1, state)
+    assert intake.current(spark, state).count() == 2
+    with pytest.raises(ValueError, match="round 3 needs"):
+        intake.merge_round(row(2002, 3.0), 3, state)
+    (tmp_path / "state" / "round=1" / "_SUCCESS").unlink()
+    assert intake.current(spark, state).count() == 1, "an unfinished round isn't read"
+    with pytest.raises(ValueError, match="round 2 needs"):
+        intake.merge_round(row(2002, 3.0), 2, state)
+    shutil.rmtree(state)
+    (tmp_path / "state").mkdir()
+    with pytest.raises(ValueError, match="no finished round"):
+        intake.current(spark, state)
+
+
+def test_quality_tells_by_evidence(spark):
+    put = lambda *rows: spark.createDataFrame([("T", c, c, y, v) for c, y, v in rows], "table_name string, entity string, code string, year int, value double")
+    base = put(("A", 2000, 10.0), ("A", 2001, 100.0), ("B", 2000, 5.0), ("B", 2001, None))
+    incoming = put(("A", 2000, 10.0), ("A", 2001, 100.0), ("B", 2000, None), ("B", 2001, 50.0))
+    final = put(("A", 2000, 10.0), ("A", 2001, 100.0), ("B", 2000, 5.0), ("B", 2001, 50.0)).withColumn("origin", F.when((F.col("code") == "B") & (F.col("year") == 2001), "x").otherwise("base"))
+    got = delivery.quality(base, incoming, final)
+    kinds = {(r["rule"], r["classification"]) for r in got["classified"].collect()}
+    assert ("temporal_jump", "also_in_base") in kinds and ("temporal_jump", "dataset_specific_or_unresolved") in kinds and ("blending_boundary_jump", "blending_boundary") in kinds
+    rules = {r["rule"] for r in got["findings"].collect()}
+    assert {"incoming_missing", "lost_observation", "blending_boundary_jump", "temporal_jump"} <= rules
+    assert set(got) == {"summary", "coverage", "membership", "aggregates", "available", "comparisons", "scales", "swaps", "checks", "findings", "classified", "observations"}
+    assert {r["status"] for r in got["checks"].collect()} <= {"calculated", "insufficient_evidence"}
