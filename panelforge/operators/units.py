@@ -6,7 +6,7 @@ through a character n-gram inverted index whose candidates a weighted edit dista
 the factor. The resulting dictionary of spellings is joined to all rows.
 
 Defined results. A phrase names a unit only if each of its words is known and one is a scale or a counted thing; else it
-says nothing and the next source counts. Digits, scripts without letters' case and words under five letters are never
+says nothing and the next source counts; so does a rate (per thousand inhabitants). Digits, scripts without letters' case and words under five letters are never
 guessed. Of several metadata rows of a table the last updated counts (null stamps first, of equal ones the largest text).
 A row whose unit nobody names has a null factor and isn't converted. Null quantities stay null. Repeated rows keep their own
 result.
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import salted_lookup
@@ -38,7 +38,7 @@ SCALES = {
     1_000_000_000: ["billion", "billions", "bn", "bln", "mrd", "milliard", "milliards", "milliarden", "млрд"],
 }
 COUNTED = ["person", "persons", "people", "inhabitant", "inhabitants", "head", "heads", "habitant", "habitants", "habitantes", "personne", "personnes", "persona", "personas", "pessoas", "persone", "abitanti", "einwohner", "personen", "человек", "чел", "人", "individuals", "residents", "населения", "口"]
-FILLERS = ["of", "unit", "units", "in", "x", "the", "a", "de", "des", "d", "s", "number", "numbers", "count", "counts", "per", "at", "only", "figures"]
+FILLERS = ["of", "unit", "units", "in", "x", "the", "a", "de", "des", "d", "s", "number", "numbers", "count", "counts", "at", "only", "figures"]
 #: Text that tells of the source's unit or of a conversion, not of the stored figures.
 ELSEWHERE = r"(?i)\b(source sheet|source file|source table|source was|source is|source's|originally|converted|conversion|were lost|revised by)\b"
 #: Where a unit may be named in running text; the group is the phrase.
@@ -53,6 +53,8 @@ IN_TEXT = [
     r"\(([^()]+)\)\s*$",
     r"(?i)\bunits?(?: is| are|:)\s+([^.;]+)",
 ]
+#: Most weighted edits of a guessed word, and its least length: a shorter one is too much like others.
+EDITS, SHORTEST = 2, 5
 #: A guessed word shares at least this part of its n-grams with the known one.
 SHARED = 0.4
 TEXTS = ("Definition", "Notes", "Extended Source Defn")
@@ -68,18 +70,10 @@ def words(phrase: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"([一-鿿]|[0-9]+|[\p{L}&&[^一-鿿]]+)"), 1)
 
 
-def known_words(spark: SparkSession) -> DataFrame:
-    """The dictionary: known, scale (null for counted things and fillers) and kind."""
-    rows = [(w, float(f), "scale") for f, ws in SCALES.items() for w in ws if len(w) == 1 or not "一" <= w[0] <= "鿿"]
-    rows += [("1" + "0" * k, 10.0**k, "scale") for k in range(0, 10)]
-    rows += [(w, None, "counted") for w in COUNTED] + [(w, None, "filler") for w in FILLERS]
-    return spark.createDataFrame(rows, "known string, scale double, kind string").coalesce(1)
-
-
-def grams(word: Column) -> Column:
+def grams(word: str) -> set[str]:
     """Distinct character trigrams of a word with marked ends."""
-    padded = F.concat(F.lit("^"), word, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - 2, F.lit(1))), lambda i: F.substring(padded, i, F.lit(3))))
+    padded = f"^{word}$"
+    return {padded[i : i + 3] for i in range(len(padded) - 2)} or {padded}
 
 
 def weighted_edits(a: str, b: str) -> float:
@@ -103,41 +97,69 @@ def weighted_edits(a: str, b: str) -> float:
     return rows[-1][-1]
 
 
-def _measured(near: DataFrame) -> DataFrame:
-    """near with the weighted edits between token and known; a map, so that the planner measures grouped pairs only."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(edits=[weighted_edits(x, y) for x, y in zip(batch["token"], batch["known"])])
-
-    return near.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in near.dtypes) + ", edits double")
+class Words:
+    """The dictionary of unit words with an inverted index of the trigrams of those that may be guessed."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, tuple[float | None, str]] = {"1" + "0" * k: (10.0**k, "scale") for k in range(10)}
+        for factor, words in SCALES.items():
+            self.known |= {w: (float(factor), "scale") for w in words}
+        self.known |= dict.fromkeys(COUNTED, (None, "counted")) | dict.fromkeys(FILLERS, (None, "filler"))
+        self.grams = {w: grams(w) for w in self.known if len(w) >= SHORTEST}
+        self.index: dict[str, list[str]] = {}
+        for w, own in self.grams.items():
+            for g in own:
+                self.index.setdefault(g, []).append(w)
+        self.longest = max(map(len, self.known)) + EDITS
+        self.read: dict[str, tuple[float | None, str] | None] = {}
+
+    def match(self, token: str) -> tuple[float | None, str] | None:
+        """Scale and kind of a word that is known or close enough to one known word; two at the same distance with other
+        scales decide nothing."""
+        if token in self.known:
+            return self.known[token]
+        if token not in self.read:
+            self.read[token] = self._guess(token)
+        return self.read[token]
+
+    def _guess(self, token: str) -> tuple[float | None, str] | None:
+        # A word longer than all known ones by more than the edits allowed is none of them.
+        if not SHORTEST <= len(token) <= self.longest or not token.isalpha():
+            return None
+        own = grams(token)
+        shared: dict[str, int] = {}
+        for g in own:
+            for w in self.index.get(g, ()):
+                shared[w] = shared.get(w, 0) + 1
+        near = [w for w, n in shared.items() if 2 * n / (len(own) + len(self.grams[w])) >= SHARED]
+        close = sorted(x for x in ((weighted_edits(token, w), w) for w in near) if x[0] <= (EDITS if len(token) >= 8 else 1))
+        if not close or len({self.known[w][0] for cost, w in close if cost == close[0][0]}) > 1:
+            return None
+        return self.known[close[0][1]]
+
+    def factor(self, tokens: list[str]) -> int | None:
+        """The product of the scales of a phrase, if each of its words is known and one is a scale or a counted thing."""
+        read = [self.match(t) for t in tokens]
+        if None in read or not any(kind in ("scale", "counted") for _, kind in read):
+            return None
+        product = 1.0
+        for scale, _ in read:
+            product *= scale or 1.0
+        return round(product) if product < 2**63 else None
 
 
-def match_words(tokens: DataFrame) -> DataFrame:
-    """token, scale and kind of each distinct token that is known or close enough to one known word of its length class."""
-    book = known_words(tokens.sparkSession)
-    exact = tokens.join(book, tokens["token"] == book["known"]).select("token", "scale", "kind")
-    odd = tokens.join(book, tokens["token"] == book["known"], "left_anti").where((F.length("token") >= 5) & (F.length("token") <= 30) & F.col("token").rlike(r"^\p{L}+\z"))
-    index = book.where(F.length("known") >= 5).withColumn("gram", F.explode(grams(F.col("known")))).withColumn("known_grams", F.size(grams(F.col("known"))))
-    met = odd.withColumn("token_grams", F.size(grams(F.col("token")))).withColumn("gram", F.explode(grams(F.col("token")))).join(index, "gram")
-    near = met.groupBy("token", "known", "scale", "kind", "token_grams", "known_grams").agg(F.count("*").alias("n")).where(2 * F.col("n") / (F.col("token_grams") + F.col("known_grams")) >= SHARED)
-    measured = _measured(near).where(F.col("edits") <= F.when(F.length("token") >= 8, 2.0).otherwise(1.0))
-    best = measured.groupBy("token").agg(F.min(F.struct("edits", "known")).alias("b"), F.min_by(F.struct("scale", "kind"), F.struct("edits", "known")).alias("k"))
-    # Two words at the same distance with other scales decide nothing.
-    tied = measured.join(best.select("token", F.col("b.edits").alias("edits"), F.coalesce("k.scale", F.lit(0.0)).alias("s")), ["token", "edits"]).where(F.coalesce("scale", F.lit(0.0)) != F.col("s")).select("token").distinct()
-    return exact.unionByName(best.join(tied, "token", "left_anti").select("token", "k.scale", "k.kind"))
+def read_spellings(spellings: DataFrame) -> DataFrame:
+    """phrase and factor of each distinct phrase that names a unit, each read once."""
+    each = spellings.select("phrase").where("phrase IS NOT NULL").distinct().withColumn("tokens", words(F.col("phrase"))).where(F.size("tokens") > 0)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        book = Words()
+        for batch in batches:
+            factors = [book.factor(list(t)) for t in batch["tokens"]]
+            told = [f is not None for f in factors]
+            yield pd.DataFrame({"phrase": batch["phrase"][told], "factor": [f for f in factors if f is not None]})
 
-def read_spellings(spellings: DataFrame) -> DataFrame:
-    """phrase and factor of each distinct phrase that names a unit."""
-    each = spellings.select("phrase").where("phrase IS NOT NULL").distinct().withColumn("tokens", words(F.col("phrase"))).where(F.size("tokens").between(1, 12))
-    flat = each.select("phrase", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token"))
-    met = flat.join(match_words(flat.select("token").distinct()), "token")
-    whole = met.groupBy("phrase", "n").agg(
-        F.count("*").alias("read"), F.count_if(F.col("kind").isin("scale", "counted")).alias("said"),
-        F.round(F.exp(F.sum(F.ln(F.coalesce("scale", F.lit(1.0)))))).alias("factor"),
-    )
-    return whole.where("read = n AND said > 0").select("phrase", F.col("factor").cast("bigint").alias("factor"))
+    return each.mapInPandas(run, "phrase string, factor bigint")
 
 
 def phrases(text: Column, patterns: list[str] = IN_TEXT) -> Column:

@@ -179,7 +179,7 @@ def test_workbooks(spark, tmp_path):
 
 
 def test_catalog_and_discovery(spark, tmp_path):
-    path = str(tmp_path / "IFsDataImport_2024-03-01.db")
+    path = str(tmp_path / "DataImport_2024-03-01.db")
     with sqlite3.connect(path) as db:
         db.execute('CREATE TABLE SeriesA (Country, FIPS_CODE, "2000")')
         db.execute("CREATE TABLE SeriesB (Actor, Actor_FIPS, Partner, Partner_FIPS, '2024')")
@@ -188,10 +188,10 @@ def test_catalog_and_discovery(spark, tmp_path):
     got = {r["name"]: (r["kind"], r["years"], r["rows"]) for r in files.catalog(spark, path).collect()}
     assert got == {"SeriesA": ("monadic", [2000], 1), "SeriesB": ("dyadic", [2024], 0), "seriesx": ("other", [], 0)}
     assert files.sqlite_tables(path) == ["SeriesA", "SeriesB"]
-    (tmp_path / "IFsDataImport_x.db").write_bytes(b"x")
+    (tmp_path / "DataImport_x.db").write_bytes(b"x")
     (tmp_path / "other.txt").write_text("x")
-    found = files.discover(spark, str(tmp_path), r"^IFsDataImport.*[.]db$").collect()
-    assert [(r["file"].rsplit("/", 1)[1], str(r["day"])) for r in found] == [("IFsDataImport_x.db", "None"), ("IFsDataImport_2024-03-01.db", "2024-03-01")]
+    found = files.discover(spark, str(tmp_path), r"^DataImport.*[.]db$").collect()
+    assert [(r["file"].rsplit("/", 1)[1], str(r["day"])) for r in found] == [("DataImport_x.db", "None"), ("DataImport_2024-03-01.db", "2024-03-01")]
 
 
 def test_lost_stream_state_is_an_error(spark, tmp_path):

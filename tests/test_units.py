@@ -15,12 +15,13 @@ def test_spellings(spark):
         "10^3 persons": 1000, "тыс. чел.": 1000, "千人": 1000, "万人": 10_000, "tens of thousands": 10_000, "10 thousand persons": 10_000, "units of one hundred thousand persons": 100_000,
         "lakh": 100_000, "1 000 000 persons": 1_000_000, "1000 thousands": 1_000_000, "Mio. Einwohner": 1_000_000, "crore": 10_000_000, "units of ten million persons": 10_000_000,
         "persons (00)": 100, "x100 persons": 100, "hundred heads": 100, "thousnad persons": 1000, "milllions of persons": 1_000_000, "Inhabitnats": 1,
+        "the number of the persons in units of one thousand of the people at the count": 1000,
     }
     assert read(spark, [*want, *want]) == want
 
 
 def test_texts_that_name_no_unit(spark):
-    assert read(spark, ["as published", "see notes", "n.a.", "varies", "", " ", None, "five thousand forms", "thirty persons moved", "x" * 5000]) == {}
+    assert read(spark, ["as published", "see notes", "n.a.", "varies", "", " ", None, "five thousand forms", "thirty persons moved", "x" * 5000, "per thousand inhabitants", "persons per household"]) == {}
 
 
 def test_phrases_of_the_stored_figures_only(spark):
