@@ -267,25 +267,25 @@ def consolidate(records: DataFrame, columns: dict[str, str], keep: tuple[str, ..
     """One consistent table: one row per record, the fields of `columns` (name: type) cast, the rest as text in `other`.
 
     A field is first led back through its renames to its first name. Booleans become 0 and 1 where a number is asked for;
-    a value that doesn't fit its type is null in its column and kept as text in `other`.
+    a value that doesn't fit its type is null in its column and kept as text in `other`. Of two fields of a record that bear
+    one name the smaller value counts.
     """
     each = cells(records, keep)
     fields = cut(profiles(each))
     marks = cut(presence(fields, fields))
     names = canonical_names(fields, marks, cut(renames(each, marks)))
     led = each.join(names, ["feed", "seq", "field"]).where("value IS NOT NULL")
-    rows = led.groupBy("feed", "seq", "import_file", "record_id", *keep).agg(F.collect_list(F.struct("name", "value")).alias("_all"))
-    once = F.map_from_entries(F.transform(F.array_distinct(F.transform("_all", lambda x: x["name"])), lambda n: F.struct(n.alias("k"), F.element_at(F.filter("_all", lambda x: x["name"] == n), 1)["value"].alias("v"))))
-    rows = rows.withColumn("_map", once).drop("_all")
-
-    def typed(name: str, kind: str):
-        text = F.try_element_at("_map", F.lit(name))
-        if kind == "string":
-            return text
-        number = F.when(F.lower(text).isin("true", "yes"), "1").when(F.lower(text).isin("false", "no"), "0").otherwise(text)
-        return number.try_cast("double").try_cast(kind)
-
-    fits = {name: typed(name, kind) for name, kind in columns.items()}
-    lost = [F.when(fits[n].isNull(), F.lit(n)) for n in columns]
-    rest = F.map_filter("_map", lambda k, v: ~F.array_contains(F.lit(list(columns)), k) | F.array_contains(F.array_compact(F.array(*lost)), k))
-    return rows.select("feed", "seq", "import_file", "record_id", *keep, *[c.alias(n) for n, c in fits.items()], F.to_json(rest).alias("other"))
+    # Each cell is cast once, by its column's type, before the cells of a record meet.
+    text, low = F.col("value"), F.lower("value")
+    numbers = [n for n, kind in columns.items() if kind != "string"]
+    number = F.when(low.isin("true", "yes"), "1").when(low.isin("false", "no"), "0").otherwise(text).try_cast("double")
+    led = led.withColumn("_number", F.when(F.col("name").isin(*numbers), number))
+    typed = {n: text if kind == "string" else F.col("_number").try_cast(kind) for n, kind in columns.items()}
+    lost = ~F.col("name").isin(*columns)
+    for kind in sorted({k for k in columns.values() if k != "string"}):
+        lost = lost | (F.col("name").isin(*[n for n, k in columns.items() if k == kind]) & F.col("_number").try_cast(kind).isNull())
+    cells_of = [F.min(F.when(F.col("name") == n, c)).alias(n) for n, c in typed.items()]
+    rest = F.array_sort(F.collect_set(F.when(lost, F.struct("name", "value"))))
+    rows = led.groupBy("feed", "seq", "import_file", "record_id", *keep).agg(*cells_of, rest.alias("_rest"))
+    once = F.filter("_rest", lambda x, i: (i == 0) | (F.get("_rest", i - 1)["name"] != x["name"]))
+    return rows.select("feed", "seq", "import_file", "record_id", *keep, *[F.col(f"`{n}`") for n in columns], F.to_json(F.map_from_entries(once)).alias("other"))
