@@ -60,6 +60,20 @@ def _identified(parts: list[DataFrame]) -> DataFrame:
     return every.withColumns({"severity": severity(F.col("rule")), "id": F.substring(F.sha2(key, 256), 1, 16)}).dropDuplicates(["id"])
 
 
+def order_conflicts(batches: DataFrame, order: DataFrame, established: DataFrame) -> DataFrame:
+    """Pairs of overlapping batches that a new order (batch, seq) turns round, or leaves undecided, against earlier decisions.
+
+    established: earlier, later. A pair overlaps if both batches supply a table; pairs are told per table and never beyond it.
+    """
+    place = order.select("batch", F.col("seq").alias("at"))
+    one = batches.where("batch <> 'base'").select("table_name", "batch").distinct().join(place, "batch", "left")
+    known = established.select("earlier", "later").distinct()
+    held = known.join(one.select(F.col("batch").alias("earlier"), "table_name", F.col("at").alias("a")), "earlier").join(one.select(F.col("batch").alias("later"), "table_name", F.col("at").alias("b")), ["later", "table_name"])
+    turned = held.where("a > b").select("table_name", "earlier", "later", F.lit("order_turned_round").alias("why"))
+    several = one.groupBy("table_name").agg(F.count("*").alias("n"), F.count("at").alias("placed"), F.min("batch").alias("earlier"), F.max("batch").alias("later")).where("n > 1 AND placed < n")
+    return turned.unionByName(several.select("table_name", "earlier", "later", F.lit("overlap_without_order").alias("why"))).distinct()
+
+
 def findings_of(rows: DataFrame, rules: Rules = Rules(), least: float | None = None, most: float | None = None, additive: bool = True) -> DataFrame:
     """Findings of every screen on the series of all batches: rule, severity, batch, table_name, code, year, evidence, a stable id."""
     moves = screens.transitions(rows, rules)
@@ -94,11 +108,21 @@ def comparison_findings(base: DataFrame, incoming: DataFrame, final: DataFrame,
     ])
 
 
-def deliver(batches: DataFrame, rules: Rules = Rules()) -> Delivery:
-    """Merge batches (batch, seq, table_name, entity, code, year, value); a table with a violation is skipped in its batch."""
+def deliver(batches: DataFrame, rules: Rules = Rules(), skipped_before: DataFrame | None = None, discarded: DataFrame | None = None) -> Delivery:
+    """Merge batches (batch, seq, table_name, entity, code, year, value); a table with a violation is skipped in its batch.
+
+    Tables skipped in an earlier run (`skipped_before`: batch, table_name) stay skipped. Batches in `discarded` (batch,
+    reason) are left out of a merge rebuilt from the base; a discard without a reason is an error.
+    """
+    if discarded is not None:
+        if not discarded.where("coalesce(trim(reason), '') = ''").isEmpty():
+            raise ValueError("a discarded batch needs a reason")
+        batches = batches.join(discarded.select("batch").distinct(), "batch", "left_anti").select(*batches.columns)
     violations = panel.identity_violations(batches.select("batch", "table_name", "entity", "code", "year").distinct().select("batch", "table_name", "entity", "code").distinct(), ["batch", "table_name"])
     repeated = batches.groupBy("batch", "table_name", "entity", "code", "year").agg(F.count("*").alias("n")).where("n > 1").select("batch", "table_name", F.lit("repeated_cell").alias("rule"), F.concat_ws(" | ", "entity", "code").alias("key"), "n")
     skipped = violations.unionByName(repeated)
+    if skipped_before is not None:
+        skipped = skipped.unionByName(skipped_before.select("batch", "table_name", F.lit("skipped_before").alias("rule"), F.lit("").alias("key"), F.lit(None).cast("bigint").alias("n")))
     good = panel.without_violating(batches, skipped)
     merged = merge.consolidate(good)
     return Delivery(merged, merge.events(good), skipped, merge.batch_counts(good), findings_of(good, rules), merge.unequal(merge.replay(good), merged))

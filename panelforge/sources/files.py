@@ -255,6 +255,36 @@ def discover(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return listed.where(name.rlike(pattern)).withColumn("day", day).orderBy(F.col("day").asc_nulls_first(), "file")
 
 
+def inspect(spark: SparkSession, path: str, first: int = 5) -> dict[str, object]:
+    """What a file holds: the catalog of a SQLite file, or the columns of a CSV file with its first rows."""
+    if path.endswith((".db", ".sqlite")):
+        return {"tables": [r.asDict() for r in catalog(spark, path).orderBy("name").toLocalIterator()]}
+    rows = read_text_csv(spark, path)
+    return {"columns": [c for c in rows.columns if c != "_bad"], "first": [r.asDict() for r in rows.drop("_bad").limit(first).collect()]}
+
+
+def import_tables(spark: SparkSession, path: str) -> DataFrame:
+    """name, listed and there of the tables of an import: those that its metadata lists and those that it holds."""
+    held = catalog(spark, path).where("kind <> 'other'").select("name", F.lit(True).alias("there"))
+    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
+        if db.execute("PRAGMA quick_check").fetchone()[0] != "ok":
+            raise ValueError(f"{path} is damaged")
+        known = db.execute("SELECT 1 FROM sqlite_master WHERE name = 'DataDict'").fetchone()
+        listed = db.execute('SELECT DISTINCT "Table" FROM DataDict WHERE "Table" IS NOT NULL').fetchall() if known else []
+    named = spark.createDataFrame(listed, "name string").withColumn("listed", F.lit(True))
+    return named.join(held, "name", "full").select("name", F.coalesce("listed", F.lit(False)).alias("listed"), F.coalesce("there", F.lit(False)).alias("there"))
+
+
+def read_selected(spark: SparkSession, path: str, tables: list[str] | None = None) -> DataFrame:
+    """Cells of the series that an import's metadata lists, or of a part of them; a selected table that is missing is an error."""
+    told = {r["name"]: r for r in import_tables(spark, path).collect()}
+    wanted = sorted(n for n, r in told.items() if r["listed"]) if tables is None else tables
+    bad = [n for n in wanted if n not in told or not told[n]["listed"] or not told[n]["there"]]
+    if bad or len(set(wanted)) < len(wanted):
+        raise ValueError(f"tables that the import doesn't list and hold, or named twice: {bad or wanted}")
+    return read_sqlite(spark, path, wanted)
+
+
 def _quoted(n: str) -> str:
     return '"' + n.replace('"', '""') + '"'
 

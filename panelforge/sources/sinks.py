@@ -87,8 +87,17 @@ def verify(folder: str) -> list[str]:
     return sorted(k for k in was.keys() | now.keys() if was.get(k) != now.get(k))
 
 
+def inputs(folder: str, marker: str = ".generated") -> dict[str, str]:
+    """Hash of each input file directly in a folder, taken before anything is written; packages marked as generated are left out."""
+    root = Path(folder)
+    return {p.name: digest(str(p)) for p in sorted(root.iterdir()) if p.is_file() and p.name != marker and not (root / f"{p.name}{marker}").exists() and not p.name.endswith(marker)}
+
+
 def publish(candidate: str, releases: str, label: str, warnings_accepted: bool = False, warnings: int = 0) -> str:
-    """Copy a sealed candidate to a named release; an existing name, a broken seal or unaccepted warnings stop it."""
+    """Copy a sealed candidate to a named release; an existing name, a broken seal or unaccepted warnings stop it.
+
+    A journal names what is under way until the release bears its name; `recover` ends what a crash left behind.
+    """
     if not LABEL.fullmatch(label):
         raise ValueError(f"no release label: {label}")
     if verify(candidate):
@@ -98,8 +107,31 @@ def publish(candidate: str, releases: str, label: str, warnings_accepted: bool =
     target = Path(releases, label)
     if target.exists():
         raise FileExistsError(target)
+    recover(releases)
+    write_json({"label": label, "candidate": str(Path(candidate).resolve())}, str(Path(releases, JOURNAL)))
     aside = Path(releases, f".{label}.part")
-    shutil.rmtree(aside, ignore_errors=True)
     shutil.copytree(candidate, aside)
+    if verify(str(aside)):
+        raise ValueError("the copy differs from the sealed candidate")
     os.replace(aside, target)
+    Path(releases, JOURNAL).unlink()
     return str(target)
+
+
+JOURNAL = "pending.json"
+
+
+def recover(releases: str) -> str | None:
+    """End a publication that was interrupted: its half copy is removed, a release that is whole stays. Returns its label."""
+    journal = Path(releases, JOURNAL)
+    if not journal.exists():
+        return None
+    label = json.loads(journal.read_text())["label"]
+    if not LABEL.fullmatch(label):
+        raise ValueError(f"no release label in the journal: {label}")
+    shutil.rmtree(Path(releases, f".{label}.part"), ignore_errors=True)
+    target = Path(releases, label)
+    if target.exists() and verify(str(target)):
+        raise ValueError(f"{target} isn't what was sealed; it needs a look")
+    journal.unlink()
+    return label
