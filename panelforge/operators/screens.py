@@ -7,6 +7,7 @@ within one series, whose length is the number of its years; nothing is gathered
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,12 +119,16 @@ def unusual_movements(moves: DataFrame, rules: Rules = Rules(), by: list[str] =
     h = F.array_sort(F.collect_list("relative").over(past))
     told = moves.where("regular AND relative IS NOT NULL").withColumn("history", h).where(F.size("history") >= rules.min_history)
 
+    def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+        """f of c, with c computed once rather than wherever f names it."""
+        return F.get(F.transform(F.array(c), f), F.lit(0))
+
     def middle(xs: Column) -> Column:
-        n = F.size(xs)
-        return (F.get(xs, F.floor((n - 1) / 2).cast("int")) + F.get(xs, F.floor(n / 2).cast("int"))) / 2
+        at = lambda ys, n: F.get(ys, F.floor(n / 2).cast("int"))
+        return bound(xs, lambda ys: (at(ys, F.size(ys) - 1) + at(ys, F.size(ys))) / 2)
 
     centred = told.withColumn("center", middle(F.col("history")))
-    spread = centred.withColumn("mad", middle(F.array_sort(F.transform("history", lambda x: F.abs(x - F.col("center"))))))
+    spread = centred.withColumn("mad", bound(F.col("center"), lambda c: middle(F.array_sort(F.transform("history", lambda x: F.abs(x - c))))))
     away = F.abs(F.col("relative") - F.col("center"))
     scored = spread.withColumn("score", F.when(F.col("mad") > rules.near_zero, away / (1.4826 * F.col("mad"))))
     odd = is_large(F.col("delta"), F.col("relative"), rules) & F.when(F.col("score").isNotNull(), F.col("score") > rules.robust_z).otherwise(away > rules.jump)
