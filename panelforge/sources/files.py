@@ -56,15 +56,17 @@ def load_long(rows: DataFrame, recipe: Recipe, roster: DataFrame, alias: DataFra
     book = spark.createDataFrame([(k, i.table, i.unit, float(i.multiplier), i.least, i.most) for k, i in recipe.indicators.items()], "_ind string, table_name string, _unit string, _mul double, _least double, _most double")
     stated = "unit" in c and recipe.columns["unit"] in rows.columns
     named = rows.withColumns({"_ind": strip(c["indicator"]), "_src": strip(c["code"]), "_year": strip(c["year"]), "_text": c["value"], "_u": strip(c["unit"]) if stated else F.lit(None).cast("string")})
-    named = named.withColumn("_wide", F.col("_bad").isNotNull() if "_bad" in rows.columns else F.lit(False)).select("_ind", "_src", "_year", "_text", "_u", "_wide")
+    # Texts are read before the look-ups, behind which the planner would read them wherever they are named.
+    number, failed = panel.lenient(F.col("_text"), list(recipe.missing), list(recipe.missing_numeric))
+    wide = F.col("_bad").isNotNull() if "_bad" in rows.columns else F.lit(False)
+    named = named.select("_ind", "_src", "_year", "_u", wide.alias("_wide"), number.alias("_number"), failed.alias("_failed"))
     kept = named.where(~F.coalesce(F.col("_ind").isin(*recipe.ignored_indicators), F.lit(False)) & ~F.coalesce(F.col("_src").isin(*recipe.ignored_codes), F.lit(False)))
     met = salted_lookup(kept, book, ["_ind"])
     known = country_reference(roster.select(F.col("entity").alias("Country"), F.col("code").alias("FIPS_CODE")))
     codes = unique(alias.select(F.col("source_code").alias("_src"), F.col("code").alias("_code")), "_src") if alias is not None else known.select(F.col("code").alias("_src"), F.col("code").alias("_code"))
     met = salted_lookup(met, codes, ["_src"])
     met = salted_lookup(met, known.select(F.col("code").alias("_code"), "entity"), ["_code"])
-    number, failed = panel.lenient(F.col("_text"), list(recipe.missing), list(recipe.missing_numeric))
-    met = met.withColumns({"value": number * F.col("_mul"), "_failed": failed})
+    met = met.withColumn("value", F.col("_number") * F.col("_mul"))
     year = F.when(F.col("_year").rlike(r"^[0-9]{4}\z"), F.col("_year").cast("int"))
     odd_unit = F.col("_unit").isNotNull() & (F.lit(stated) & ~F.col("_u").eqNullSafe(F.col("_unit")))
     why = (
